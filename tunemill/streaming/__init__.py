@@ -1,0 +1 @@
+"""No operator of this package is a stream: the workload has no stream, watermark or state."""
