@@ -25,16 +25,19 @@ def causal_labels(padded_ids: Column, pad_id: int) -> Column:
     )
 
 
-def scored_pairs(input_ids: Column, labels: Column) -> Column:
-    """Pairs (prev, next) the loss counts: each id with the label one place further on.
+def shifted_pairs(input_ids: Column, labels: Column) -> Column:
+    """Structs (prev, next): each id with the label one place further on.
 
-    The first label has no predecessor, the last id has no successor, and pairs whose
-    label is ignored are left out.
+    The first label has no predecessor and the last id no successor.
     """
-    n = F.size(input_ids)
-    shifted = F.zip_with(
-        F.slice(input_ids, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(labels, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda prev, nxt: F.struct(prev.alias("prev"), nxt.alias("next")),
+    pairs = F.greatest(F.size(input_ids) - 1, F.lit(0))
+    return F.arrays_zip(
+        F.slice(input_ids, F.lit(1), pairs).alias("prev"), F.slice(labels, F.lit(2), pairs).alias("next")
+    )
+
+
+def scored_pairs(input_ids: Column, labels: Column) -> Column:
+    """The pairs the loss counts: those whose label is not ignored."""
+    return F.filter(
+        shifted_pairs(input_ids, labels), lambda pair: pair["next"] != IGNORED_LABEL
     )
-    return F.filter(shifted, lambda pair: pair["next"] != IGNORED_LABEL)

@@ -9,6 +9,8 @@ like any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,12 @@ ID_BITS = 16
 BLOCK_BITS = 24
 
 
+def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    # The joins below ask for this anyway. Asked for at the start, both sides of a join begin
+    # with the same plan, and Spark runs it once.
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+
+
 def running_total_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,7 +40,9 @@ def running_total_before(
     `(keys, at)` is unique and not NULL, `at` is a BIGINT.
     """
     keys = list(keys)
-    blocked = df.withColumn("_block", F.shiftright(F.col(at), bits))
+    blocked = _present(
+        df.withColumn("_block", F.shiftright(F.col(at), bits)), [*keys, at, "_block"]
+    )
     earlier = (Window.unboundedPreceding, -1)
     block_start = (
         blocked.groupBy(*keys, "_block")
@@ -69,7 +79,7 @@ def with_position(
     bucket are not NULL.
     """
     keys = list(keys)
-    bucketed = df.withColumn("_bucket", bucket)
+    bucketed = _present(df.withColumn("_bucket", bucket), [*keys, "_bucket"])
     sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     starts = running_total_before(sizes, keys, "_bucket", "_rows", "_before", bits).drop("_rows")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)

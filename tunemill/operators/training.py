@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.integers import ceil_div, whole_div
-from tunemill.functions.labels import scored_pairs
+from tunemill.functions.labels import IGNORED_LABEL, scored_pairs, shifted_pairs
 from tunemill.operators.batching import BATCH_SIZE, EPOCHS
 from tunemill.operators.positions import running_total_before
 
@@ -33,9 +33,15 @@ def bigram_train_loss(
     """
     vocab = vocab_size if isinstance(vocab_size, Column) else F.lit(vocab_size)
     pairs = (
-        token_loss_mask(batches)
-        .select(F.col(step).cast("bigint").alias("step"), F.explode("scored").alias("pair"))
-        .groupBy("step", "pair.prev", "pair.next")
+        batches.select(
+            F.col(step).cast("bigint").alias("step"),
+            F.inline(shifted_pairs(F.col("input_ids"), F.col("labels"))),
+        )
+        # The joins below ask for values too. Asked for here, every use of the pairs begins
+        # with the same plan, and Spark counts them once.
+        .where(F.col("step").isNotNull() & F.col("prev").isNotNull() & F.col("next").isNotNull())
+        .where(F.col("next") != IGNORED_LABEL)
+        .groupBy("step", "prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     pair_seen = running_total_before(pairs, ["prev", "next"], "step", "n", "pair_seen", bits)

@@ -295,6 +295,7 @@ def token_loss_mask(spark, sf_dir):
 @query
 def bigram_train_loss(spark, sf_dir):
     batches = prepare.manual_batches(stored_tokens(spark, sf_dir))
+    batches = prepare.stored(batches.select("batch_id", "input_ids", "labels"), "batches")
     losses = training.bigram_train_loss(batches, VOCAB_SIZE, step="batch_id")
     return losses.withColumn("train_loss", F.round("train_loss", 6))
 
