@@ -1,0 +1,44 @@
+"""A left join for keys that may hold much of the left table."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 100_000
+HOT_KEYS = 10_000
+SALTS = 64
+
+
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, keys: int = HOT_KEYS) -> DataFrame:
+    """The keys with more than `rows` rows, the largest `keys` of them at most.
+
+    Of the keys left out by the limit, none holds more than one in `keys` rows.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.where(F.col("n") > rows).orderBy(F.desc("n")).limit(keys).select(key)
+
+
+def left_join_spread(
+    left: DataFrame, right: DataFrame, key: str, spread_by: Column, hot: DataFrame, salts: int = SALTS
+) -> DataFrame:
+    """`left` LEFT JOIN `right` on `key`, with the rows of hot keys spread over `salts` tasks.
+
+    `hot` comes from `hot_keys`, so it is small enough to broadcast. `spread_by` differs
+    within a key. Only the right rows of hot keys are copied. Left rows with a NULL key match
+    nothing and are spread too.
+    """
+    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    salted_left = left.join(marked, key, "left").withColumn(
+        "_salt",
+        F.when(
+            F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+        ).otherwise(0),
+    )
+    copies = F.when(F.col("_hot"), salts).otherwise(1)
+    salted_right = right.join(marked, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), copies - 1))
+    )
+    return (
+        salted_left.drop("_hot").join(salted_right.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+    )

@@ -63,7 +63,8 @@ def tokenize(
     Tokens outside the vocabulary get the unknown id. `max_length` cuts the tail, counting
     the BOS id; None keeps every token.
     """
-    tokens = split_tokens(F.col(text))
+    # A missing text has no tokens.
+    tokens = F.coalesce(split_tokens(F.col(text)), F.array().cast("array<string>"))
     if max_length is not None:
         # Cutting before the lookup gives the same ids with less to look up.
         tokens = F.slice(tokens, 1, max_length - int(add_bos))
@@ -90,13 +91,17 @@ def _encode_inline(df: DataFrame, tokens: Column, vocabulary: Vocabulary) -> Dat
     def slot(token: Column) -> Column:
         return F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")
 
-    filled = vocabulary.table.groupBy(slot(F.col("token")).alias("slot")).agg(
-        F.collect_list(F.struct("token", "token_id")).alias("entries")
+    entry = F.struct("token", "token_id")
+    known = vocabulary.table.select(slot(F.col("token")).alias("slot"), entry.alias("entry"))
+    no_entry = F.lit(None).cast(known.schema["entry"].dataType)
+    every_slot = df.sparkSession.range(slots).select(
+        F.col("id").cast("int").alias("slot"), no_entry.alias("entry")
     )
-    every_slot = df.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
     in_order = F.sort_array(F.collect_list(F.struct("slot", "entries")))
     lookup = (
-        every_slot.join(filled, "slot", "left")
+        known.union(every_slot)
+        .groupBy("slot")
+        .agg(F.collect_list("entry").alias("entries"))
         .agg(F.transform(in_order, lambda s: F.map_from_entries(s["entries"])).alias("lookup"))
         .scalar()
     )

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunemill.operators.joins import hot_keys, left_join_spread
+from tunemill.sources.configs import ZERO_STAGES, config_variants
+
 # Trainer keys and the engine keys that have to agree with them.
 KEY_PAIRS = [
     ("per_device_train_batch_size", "train_micro_batch_size_per_gpu"),
@@ -34,18 +37,21 @@ def run_tree(runs: DataFrame) -> DataFrame:
         F.col("run_name").alias("parent_name"),
         F.col("rank").alias("parent_rank"),
     )
-    # Many children of one parent: adaptive execution splits that join partition.
-    return runs.join(parents, "parent_run_id", "left")
-
+    with_parent = runs.where(F.col("parent_run_id").isNotNull())
+    return left_join_spread(
+        runs, parents, "parent_run_id", F.col("run_id"), hot_keys(with_parent, "parent_run_id")
+    )
 
-def select_variant(runs: DataFrame, variants: DataFrame) -> DataFrame:
-    """Adds each run's `config` by its `stage`; a stage without configuration is an error.
 
-    `variants` holds one row per stage name, a handful.
-    """
+def select_variant(
+    runs: DataFrame, base: dict | None = None, stages: dict[str, dict] = ZERO_STAGES
+) -> DataFrame:
+    """Adds each run's `config` by its `stage`; a stage without configuration is an error."""
+    variants = config_variants(runs.sparkSession, base, stages)
     unknown = F.raise_error(
         F.concat(F.lit("no configuration for stage "), F.coalesce("stage", F.lit("NULL")))
     )
+    # The variants are written out in the program, one row per stage.
     return (
         runs.join(F.broadcast(variants), "stage", "left")
         .withColumn("config", F.when(F.col("config").isNull(), unknown).otherwise(F.col("config")))

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill.functions.integers import whole_div
+from tunemill.operators.joins import hot_keys, left_join_spread
 from tunemill.operators.positions import with_id_position
 from tunemill.operators.tracking import ENGINE, TRAINER
 from tunemill.sources.instructions import conform_instructions
+from tunemill.sources.tables import read_spread
 
 STEPS_PER_EPOCH = 20
 RUN_NAME = "tuning_run"
@@ -44,14 +46,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+
+
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn with the assistant turn right after it; the system turn is the context.
 
     (conv_id, turn) is unique, so the follower is found by an equality join, which spreads a
-    long conversation over all tasks. Many turns of one conversation meet its single system
-    turn in the second join, where adaptive execution splits a hot conversation.
+    long conversation over all tasks. In the second join all turns of a conversation meet its
+    system turn, so there the long conversations are spread on purpose.
     """
-    turns = table(spark, sf_dir, "conversations")
+    turns = text_table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("instruction")
     )
@@ -63,8 +69,13 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turn = F.col("turn")
     rows = (
-        asked.join(answered, ["conv_id", "turn"])
-        .join(system, "conv_id", "left")
+        left_join_spread(
+            asked.join(answered, ["conv_id", "turn"]),
+            system,
+            "conv_id",
+            turn,
+            hot_keys(asked, "conv_id"),
+        )
         .select(
             turn_id().alias("id"),
             "instruction",
@@ -78,7 +89,8 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_id() -> Column:
-    return F.col("conv_id") * 1000 + F.col("turn")
+    """One BIGINT per turn, unique for conversations of up to 2**32 turns."""
+    return F.shiftleft(F.col("conv_id"), 32) + F.col("turn")
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

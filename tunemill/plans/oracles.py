@@ -11,7 +11,7 @@ _PARTS = {
                LEAD(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
         FROM conversations""",
     "instructions": """
-        SELECT p.conv_id * 1000 + p.turn AS id, p.text AS instruction, p.next_text AS response,
+        SELECT p.conv_id * 4294967296 + p.turn AS id, p.text AS instruction, p.next_text AS response,
                s.text AS context,
                CASE WHEN p.turn <= 1 THEN 'opening' ELSE 'followup' END AS category,
                CASE WHEN (p.conv_id + p.turn) % 10 = 0 THEN 'test' ELSE 'train' END AS split
@@ -216,7 +216,7 @@ ORACLES: dict[str, str] = {
     "split_filter": _sql("SELECT * FROM instructions WHERE split = 'train'", _INSTRUCTIONS),
     "file_manifest": _sql("SELECT repo, name, target_path FROM manifest", "repo_files manifest"),
     "pending_files": _sql(
-        """SELECT repo, name, target_path FROM manifest
+        """SELECT DISTINCT repo, name, target_path FROM manifest
         WHERE target_path NOT IN (SELECT target_path FROM manifest WHERE present)""",
         "repo_files manifest",
     ),

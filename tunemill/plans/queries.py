@@ -59,7 +59,7 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return fx.text_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def document_tokens(spark: SparkSession, sf_dir: str, max_length: int | None) -> DataFrame:
@@ -74,7 +74,7 @@ def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.select_variant(fx.runs(spark, sf_dir), configs.config_variants(spark))
+    return tracking.select_variant(fx.runs(spark, sf_dir))
 
 
 # Sources and sinks

@@ -26,10 +26,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pending_files(manifest: DataFrame, present: DataFrame, match_length: bool = False) -> DataFrame:
-    """Manifest rows whose target does not exist yet.
+    """Manifest rows whose target does not exist yet, each once.
 
     Existence is enough by default, so a file written in part counts as done; with
-    `match_length` the lengths have to agree too.
+    `match_length` the lengths have to agree too. Repeats on either side are merged before
+    the join, so that many copies of one path do not meet in one task.
     """
     keys = ["target_path", "length"] if match_length else ["target_path"]
-    return manifest.join(present.select(*keys), keys, "left_anti")
+    return manifest.distinct().join(present.select(*keys).distinct(), keys, "left_anti")

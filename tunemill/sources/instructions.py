@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunemill.sources.tables import file_system_path
+
 # The row id is required: the order of a table is the order of its ids.
 REQUIRED = {"id": "bigint", "instruction": "string", "response": "string"}
 OPTIONAL = {"context": "string", "category": "string"}
@@ -56,8 +58,7 @@ def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame])
 
     A folder without the mark of a finished write is not touched: that is an error.
     """
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    files = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, done = file_system_path(spark, f"{path}/_SUCCESS")
     if not files.exists(done):
         build().write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
