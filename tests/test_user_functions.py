@@ -46,7 +46,9 @@ def test_public_tokenizer_plugs_in(spark):
     assert len(rows[0]["input_ids"]) == 2 and rows[1]["input_ids"] == []
 
 
-def test_collate_sees_whole_batches(spark):
+@pytest.mark.parametrize("transfer", ["1", "3", "1000"])
+def test_collate_sees_whole_batches(spark, conf, transfer):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", transfer)
     df = batching.sequential_batches(spark.range(10))
 
     def sizes(batch):

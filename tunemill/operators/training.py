@@ -44,14 +44,20 @@ def bigram_train_loss(
         .groupBy("step", "prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    pair_seen = running_total_before(pairs, ["prev", "next"], "step", "n", "pair_seen", bits)
-    prev_counts = pairs.groupBy("prev", "step").agg(F.sum("n").alias("prev_n"))
-    prev_seen = running_total_before(prev_counts, ["prev"], "step", "prev_n", "prev_seen", bits)
-    scored = pair_seen.join(prev_seen.drop("prev_n"), ["prev", "step"]).withColumn("_vocab", vocab)
-    loss = -F.ln((F.col("pair_seen") + 1) / (F.col("prev_seen") + F.col("_vocab")))
-    return scored.groupBy("step").agg(
-        (F.sum(F.col("n") * loss) / F.sum("n")).alias("train_loss"),
-        F.sum("n").alias("scored_tokens"),
+    prev_counts = pairs.groupBy("step", "prev").agg(F.sum("n").alias("n"))
+    pair_seen = running_total_before(pairs, ["prev", "next"], "step", "n", "seen", bits)
+    prev_seen = running_total_before(prev_counts, ["prev"], "step", "n", "seen", bits)
+    # -ln((pair + 1) / (prev + vocab)) is a sum of one part per pair and one per first token,
+    # so the two meet only in the totals of a step.
+    parts = pair_seen.select(
+        "step", "n", (-F.col("n") * F.ln(F.col("seen") + 1)).alias("loss")
+    ).union(
+        prev_seen.withColumn("_vocab", vocab).select(
+            "step", F.lit(0).cast("bigint"), F.col("n") * F.ln(F.col("seen") + F.col("_vocab"))
+        )
+    )
+    return parts.groupBy("step").agg(
+        (F.sum("loss") / F.sum("n")).alias("train_loss"), F.sum("n").alias("scored_tokens")
     )
 
 

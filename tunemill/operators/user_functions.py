@@ -60,8 +60,30 @@ def _series_iterator() -> dict:
 
 
 def collate_batches(df: DataFrame, fn: Callable, schema: str, batch: str = "batch_id") -> DataFrame:
-    """`fn` on the rows of each batch, as one pandas frame; a batch is a few rows."""
-    return df.groupBy(batch).applyInPandas(fn, schema)
+    """`fn` on the rows of each batch, as one pandas frame in slot order.
+
+    A batch is a few rows. Many batches therefore go to Python in one transfer and are taken
+    apart there; one that is cut by the end of a transfer waits for its other rows.
+    """
+
+    def run(frames: Iterator) -> Iterator:
+        import pandas as pd
+
+        waiting = None
+        for frame in frames:
+            if waiting is not None:
+                frame = pd.concat([waiting, frame], ignore_index=True)
+            if not len(frame):
+                continue
+            last = frame[batch] == frame[batch].iloc[-1]
+            waiting = frame[last]
+            if not last.all():
+                groups = frame[~last].groupby(batch, sort=False)
+                yield pd.concat([fn(rows.copy()) for _, rows in groups], ignore_index=True)
+        if waiting is not None:
+            yield fn(waiting.copy())
+
+    return df.repartition(batch).sortWithinPartitions(batch, "slot").mapInPandas(run, schema)
 
 
 def run_on_ranks(

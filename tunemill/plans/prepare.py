@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tunemill.operators.batching import (
     BATCH_SIZE,
+    EPOCHS,
     attach_tokens,
     batch_max_length,
     collate,
@@ -52,3 +56,22 @@ def trainer_batches(
     grouped = length_grouped_batches(tokens.select("id", "n_tokens"), batch_size, seed)
     dealt = shard_batches(grouped, world_size, batch_size)
     return collate(attach_tokens(batch_max_length(dealt), tokens))
+
+
+def trainer_epochs(
+    tokens: DataFrame,
+    world_size: int,
+    epochs: int = EPOCHS,
+    batch_size: int = BATCH_SIZE,
+    seed: int | str = 0,
+) -> DataFrame:
+    """`trainer_batches` of several epochs, each in an order of its own."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            trainer_batches(tokens, world_size, batch_size, f"{seed}:{epoch}").withColumn(
+                "epoch", F.lit(epoch)
+            )
+            for epoch in range(epochs)
+        ],
+    )
