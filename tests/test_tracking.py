@@ -78,18 +78,25 @@ def test_names_layout_and_parents(spark):
 
 def test_conflicts_of_the_fixed_values(spark):
     """The two sides agree on what they share and differ in three places."""
-    rows = [(1, "hf", k, str(v)) for k, v in configs.trainer_arguments().items()]
-    rows += [(1, "hf", "betas", "[0.9, 0.95]")]
-    flat = {
-        "train_micro_batch_size_per_gpu": 4, "gradient_accumulation_steps": 1, "gradient_clipping": 0.3,
-        "bf16.enabled": "true", "optimizer.type": "AdamW", "optimizer.params.lr": 2e-4,
-        "scheduler.params.warmup_max_lr": 2e-4, "scheduler.params.warmup_num_steps": 100,
-        "scheduler.type": "WarmupLR", "optimizer.params.betas": "[0.9, 0.999]",
+    engine = configs.load_config(spark, configs.base_config()).withColumn("run_id", F.lit(1))
+    trainer = configs.load_config(
+        spark, {**configs.trainer_arguments(), "betas": [0.9, 0.95]}
+    ).withColumn("run_id", F.lit(1))
+    params = tracking.engine_params(engine, F.col("config")).union(
+        sinks.explode_params(trainer, F.col("config"), tracking.TRAINER)
+    )
+    found = {r["trainer_key"]: (r["trainer_value"], r["engine_value"]) for r in tracking.config_conflicts(params).collect()}
+    assert found == {
+        "betas": ("[0.9,0.95]", "[0.9,0.999]"),
+        "optim": ("paged_adamw_32bit", "AdamW"),
+        "lr_scheduler_type": ("constant", "WarmupLR"),
     }
-    rows += [(1, "ds_", k, str(v)) for k, v in flat.items()]
-    df = spark.createDataFrame(rows, "run_id int, source string, key string, value string")
-    found = {r["trainer_key"] for r in tracking.config_conflicts(df).collect()}
-    assert found == {"betas", "optim", "lr_scheduler_type"}
+
+
+def test_engine_params_leave_out_what_is_not_set(spark):
+    df = configs.load_config(spark, {"optimizer": {"type": "X"}}).withColumn("run_id", F.lit(1))
+    rows = tracking.engine_params(df, F.col("config")).collect()
+    assert [tuple(r) for r in rows] == [(1, "ds_", "optimizer.type", "X")]
 
 
 @pytest.mark.parametrize(

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 CONFIG_TYPE = "map<string,variant>"
 
+# The names of the two optimizers.
+CPU_ADAM, FUSED_ADAM = "DeepSpeedCPUAdam", "FusedAdam"
+
 
 def parse_config(text: Column) -> Column:
     """JSON text to a map of its top-level keys; nested sections stay one value."""
@@ -36,7 +39,7 @@ def offload_device(config: Column) -> Column:
 
 def optimizer_choice(device: Column) -> Column:
     """The CPU variant of Adam for state kept on the CPU, else the fused one."""
-    return F.when(device == "cpu", "DeepSpeedCPUAdam").otherwise("FusedAdam")
+    return F.when(device == "cpu", CPU_ADAM).otherwise(FUSED_ADAM)
 
 
 def run_name(name: Column, rank: Column) -> Column:

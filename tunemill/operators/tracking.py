@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunemill.functions.configs import config_leaf
 from tunemill.operators.joins import hot_keys, left_join_spread
 from tunemill.sources.configs import ZERO_STAGES, config_variants
 
@@ -66,6 +67,21 @@ def key_pairs(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(pairs))
 
 
+def engine_params(runs: DataFrame, config: Column) -> DataFrame:
+    """The engine's side of the key pairs as (run_id, source, key, value) rows.
+
+    Reaches into the sections of a MAP<STRING, VARIANT>; keys that are not set give no row.
+    """
+    leaves = []
+    for key in dict.fromkeys(engine for _, engine in KEY_PAIRS):
+        section, _, inner = key.partition(".")
+        value = config_leaf(config, section, f"$.{inner}" if inner else "$")
+        leaves.append(
+            F.struct(F.lit(ENGINE).alias("source"), F.lit(key).alias("key"), value.alias("value"))
+        )
+    return runs.select("run_id", F.inline(F.array(*leaves))).where(F.col("value").isNotNull())
+
+
 def config_conflicts(params: DataFrame) -> DataFrame:
     """Parameters on which trainer and engine disagree, one row per run and key pair.
 
