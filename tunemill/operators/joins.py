@@ -13,10 +13,12 @@ SALTS = 64
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, keys: int = HOT_KEYS) -> DataFrame:
     """The keys with more than `rows` rows, the largest `keys` of them at most.
 
-    Of the keys left out by the limit, none holds more than one in `keys` rows.
+    Of the keys left out by the limit, none holds more than one in `keys` rows. Ties are
+    broken by key, so that every use of the list is the same list.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where(F.col("n") > rows).orderBy(F.desc("n")).limit(keys).select(key)
+    largest = sizes.where(F.col("n") > rows).orderBy(F.desc("n"), F.asc(key)).limit(keys)
+    return largest.select(key)
 
 
 def left_join_spread(
