@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import exact_dedup, quality, toxicity
+from tunemill.llm import exact_dedup, quality, simhash_dedup, toxicity
 from tunemill.llm.common import documents
 
 QUERIES = {}
@@ -17,6 +17,11 @@ def labels(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+@query
+def op1_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.simhash_components(documents(spark, sf_dir))
+
+
 @query
 def op3_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
