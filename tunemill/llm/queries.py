@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import exact_dedup, quality, simhash_dedup, toxicity
+from tunemill.llm import exact_dedup, quality, simhash_dedup, substring_dedup, toxicity
 from tunemill.llm.common import documents
 
 QUERIES = {}
@@ -37,3 +37,8 @@ def op7_toxicity(spark, sf_dir):
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
+@query
+def op9_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
