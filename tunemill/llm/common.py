@@ -48,14 +48,16 @@ def space_words(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut to about SLICE_BYTES of text each, so that memory doesn't follow the batch size."""
+def in_slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about `limit` bytes of text each, so that memory doesn't follow the batch size."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         start = total = 0
         for row, size in enumerate(sizes):
-            if total and total + size > SLICE_BYTES:
+            if total and total + size > limit:
                 yield batch.slice(start, row - start)
                 start, total = row, 0
             total += size

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunemill.llm import exact_dedup, quality, simhash_dedup, substring_dedup, toxicity
+from tunemill.llm import decontamination, exact_dedup, quality, simhash_dedup, substring_dedup, toxicity
 from tunemill.llm.common import documents
 
 QUERIES = {}
@@ -22,6 +22,13 @@ def op1_simhash_dedup(spark, sf_dir):
     return simhash_dedup.simhash_components(documents(spark, sf_dir))
 
 
+@query
+def op2_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_contamination(documents(spark, sf_dir), benchmark)
+    return decontamination.contamination_digest(found)
+
+
 @query
 def op3_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
