@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from tunemill.llm import decontamination, exact_dedup, quality, simhash_dedup, substring_dedup, toxicity
+from pyspark.sql import functions as F
+
+from tunemill.llm import (
+    decontamination,
+    exact_dedup,
+    quality,
+    sentencepiece_codec,
+    simhash_dedup,
+    substring_dedup,
+    toxicity,
+)
 from tunemill.llm.common import documents
 
 QUERIES = {}
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def query(fn):
@@ -49,3 +60,9 @@ def op8_exact_dedup(spark, sf_dir):
 @query
 def op9_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
+@query
+def op4_sentencepiece(spark, sf_dir):
+    coded = sentencepiece_codec.encode(documents(spark, sf_dir).select("doc_id", "text"), PIECE_MODEL, check=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip", "parity")
