@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tunemill.llm import (
     decontamination,
     exact_dedup,
+    line_dedup,
     quality,
     sentencepiece_codec,
     simhash_dedup,
@@ -66,3 +67,8 @@ def op9_substring_dedup(spark, sf_dir):
 def op4_sentencepiece(spark, sf_dir):
     coded = sentencepiece_codec.encode(documents(spark, sf_dir).select("doc_id", "text"), PIECE_MODEL, check=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip", "parity")
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(documents(spark, sf_dir))
