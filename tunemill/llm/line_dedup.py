@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tunemill.llm.common import SPACE, stored
 
+WORD = r"[^\x20\x09-\x0D]"
 SLOT_BITS = 20
 HOT = 128
 
@@ -60,6 +61,8 @@ def line_keys(docs: DataFrame) -> tuple[int, str]:
 def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataFrame:
     """key, tokens (rarest first: slot count, then 32 bits of the hash) for each line with words."""
     lines = docs.where("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    # Decided on the line: a condition on the tokens would be worked out apart from them, once more.
+    lines = lines.where(F.col("line").rlike(WORD))
 
     def coded(table: Column) -> Column:
         def code(h: Column) -> Column:
@@ -67,14 +70,13 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
             return F.shiftleft(count.cast("bigint"), 32).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFFFF)))
 
         hashes = F.transform(words_of(F.col("line")), lambda word: F.xxhash64(word))
-        return F.array_sort(F.array_distinct(F.transform(hashes, code)))
+        return F.sort_array(F.array_distinct(F.transform(hashes, code)))
 
     key = F.col("doc_id").cast(kind) * F.lit(1 << bits).cast(kind) + F.col("line_no").cast(kind)
     # One select after the subquery column, so that the two merge and the array isn't copied into each row.
     return (
         lines.withColumn("_slots", slots.scalar())
         .select(key.cast(kind).alias("key"), F.transform(F.array("_slots"), coded)[0].alias("tokens"))
-        .where(F.size("tokens") > 0)
     )
 
 
@@ -154,15 +156,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, removed (numbers of the lines that go, from 0) of the documents that lose some."""
     bits, kind = line_keys(docs)
     slots = stored(slot_counts(docs), "slots")
-    every = described(token_sets(docs, slots, bits, kind))
-    lines = stored(every.select("key", *IDENTITY), "lines")
-    sets = every.groupBy(*IDENTITY).agg(F.min("key").alias("key"), F.min_by("prefix", "key").alias("prefix"))
+    lines = stored(described(token_sets(docs, slots, bits, kind)), "lines")
+    sets = lines.groupBy(*IDENTITY).agg(F.min("key").alias("key"), F.min_by("prefix", "key").alias("prefix"))
     entries = listed(sets)
     by_first = matching(first_partners(entries), docs, bits)
     late = by_first.union(matching(all_partners(entries, by_first), docs, bits)).distinct()
     verdict = sets.select("key", *IDENTITY).join(late.withColumn("late", F.lit(True)), F.col("key") == F.col("x"), "left")
     verdict = verdict.select(F.col("key").alias("first_key"), "late", *IDENTITY)
-    gone = lines.join(verdict, IDENTITY).where(F.col("late") | (F.col("key") > F.col("first_key")))
+    gone = lines.select("key", *IDENTITY).join(verdict, IDENTITY).where(F.col("late") | (F.col("key") > F.col("first_key")))
     if kind == "bigint":
         doc_id, line_no = F.shiftright("key", bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
     else:
