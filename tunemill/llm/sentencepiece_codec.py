@@ -34,6 +34,7 @@ THREADS = 2
 CACHE = 400_000
 #: Bytes of text in one call of the library.
 CALL_BYTES = 1_000_000
+DECODED_AT_A_TIME = 256
 
 # Numbers of message fields, kinds of models and of pieces in the model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -157,7 +158,7 @@ class Coder:
         self.by_word = not any(MARKER in text.lstrip(MARKER) for text, _, _ in model.pieces)
         self.by_word &= all(kind != USER_DEFINED for _, _, kind in model.pieces)
         # A line end that is in no piece is coded as bytes and ends a word as well.
-        if any("\n" in text for text, _, _ in model.pieces):
+        if not model.byte_fallback or any("\n" in text for text, _, _ in model.pieces):
             self.word = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+")
         else:
             self.word = re.compile(f"\n+|{MARKER}+[^{MARKER}\n]*|[^{MARKER}\n]+")
@@ -217,20 +218,31 @@ def encode_texts(coder: Coder, texts: list[str]) -> list[list[int]]:
     return [ids for some in _calls(texts) for ids in coder.encode(some)]
 
 
+def decode_ids(coder: Coder, ids: list[list[int]]) -> list[str]:
+    return [
+        text
+        for at in range(0, len(ids), DECODED_AT_A_TIME)
+        for text in coder.tokenizer.decode_batch(ids[at : at + DECODED_AT_A_TIME], skip_special_tokens=False)
+    ]
+
+
 def ship(docs: DataFrame, model_path: str) -> str:
     """Hands the model file to the executors; returns its name there."""
     docs.sparkSession.sparkContext.addFile(model_path)
     return os.path.basename(model_path)
 
 
-def encode(docs: DataFrame, model_path: str, threads: int = THREADS, check: bool = False) -> DataFrame:
-    """The columns of `docs` and `ids` (array of int); a column of that name is replaced.
+def encode(
+    docs: DataFrame, model_path: str, threads: int = THREADS, round_trip: bool = False, parity: bool = False
+) -> DataFrame:
+    """The columns of `docs` and `ids` (array of int); columns of the new names are replaced.
 
-    With `check` also `round_trip` (decoding gives back the text) and `parity` (the sentencepiece
-    library gives the same ids); both null for a null text.
+    On demand also `round_trip` (decoding gives back the text) and `parity` (the sentencepiece library
+    gives the same ids); both null for a null text.
     """
     name = ship(docs, model_path)
-    new = ["ids", "round_trip", "parity"] if check else ["ids"]
+    wanted = (("ids", "array<int>", True), ("round_trip", "boolean", round_trip), ("parity", "boolean", parity))
+    new = {column: kind for column, kind, asked in wanted if asked}
     kept = [column for column in docs.columns if column not in new]
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -240,16 +252,16 @@ def encode(docs: DataFrame, model_path: str, threads: int = THREADS, check: bool
         texts = column.filter(there).to_pylist()
         ids = encode_texts(coder, texts)
         found = [_spread(ids, there, pa.list_(pa.int32()))]
-        if check:
-            back = coder.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            reference = _reference(name)
-            same = [reference.encode(text) == one for text, one in zip(texts, ids)]
+        if round_trip:
+            back = decode_ids(coder, ids)
             found.append(_spread([a == b for a, b in zip(back, texts)], there, pa.bool_()))
-            found.append(_spread(same, there, pa.bool_()))
-        return pa.record_batch([*(batch[k] for k in kept), *found], [*kept, *new])
+        if parity:
+            reference = _reference(name)
+            found.append(_spread([reference.encode(t) == one for t, one in zip(texts, ids)], there, pa.bool_()))
+        return pa.record_batch([*(batch[c] for c in kept), *found], [*kept, *new])
 
-    kinds = {field.name: field.dataType.simpleString() for field in docs.schema}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + ["ids array<int>", "round_trip boolean", "parity boolean"][: len(new)])
+    kinds = {field.name: field.dataType.simpleString() for field in docs.schema} | new
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*kept, *new])
     return per_row(docs.select(*[f"`{c}`" for c in kept]), schema, rows)
 
 
@@ -266,7 +278,7 @@ def decode(coded: DataFrame, model_path: str, threads: int = THREADS) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["ids"]
-            texts = _loaded(name, threads).tokenizer.decode_batch(ids.drop_null().to_pylist(), skip_special_tokens=False)
+            texts = decode_ids(_loaded(name, threads), ids.drop_null().to_pylist())
             columns = [*(batch[c] for c in kept), _spread(texts, ids.is_valid(), pa.string())]
             yield pa.record_batch(columns, [*kept, "decoded"])
 
