@@ -1,0 +1,172 @@
+"""Classifiers, licence scans, SentencePiece coding and the pipeline."""
+
+import re
+import struct
+
+import numpy as np
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from tunemill.llm import license_scan, pu_learning, quality, sentencepiece_codec, toxicity
+from tunemill.llm.queries import PIECE_MODEL, QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def area_under_curve(scores, truth):
+    ranks = np.empty(len(scores))
+    ranks[np.argsort(scores)] = np.arange(len(scores))
+    ones = truth.sum()
+    return (ranks[truth].sum() - ones * (ones - 1) / 2) / (ones * (len(truth) - ones))
+
+
+@pytest.mark.parametrize("name, label, least", [("op3_quality_classifier", "quality", 0.97), ("op7_toxicity", "toxic", 0.75)])
+def test_held_out_labels(spark, name, label, least):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = QUERIES[name](spark, SF_DIR).join(labels, "doc_id").where("held_out").collect()
+    scores, truth = np.array([r["score"] for r in rows]), np.array([r[label] == 1 for r in rows])
+    assert area_under_curve(scores, truth) >= least
+    assert np.mean((np.array([r["predicted"] for r in rows]) == 1) == truth) >= 0.9
+
+
+def test_without_labels_nothing_is_called_positive(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
+    rows = toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, none)).collect()
+    assert [r["predicted"] for r in rows] == [0, 0] and max(r["score"] for r in rows) < 0.01
+    assert toxicity.drop_toxic(docs, none).count() == 2
+
+
+def test_risk_is_corrected_by_the_prior():
+    draw = np.random.default_rng(0)
+    truth = draw.random(4000) < 0.3
+    rows = [np.flatnonzero(draw.random(6) < (0.7 if y else 0.2)) for y in truth]
+    positive = pu_learning.Rows([r for r, y in zip(rows, truth) if y][:600])
+    weights, bias = pu_learning.fit(positive, pu_learning.Rows(rows), 0.3, 6)
+    called = np.array([bias + weights[r].sum() > 0 for r in rows])
+    assert np.mean(called == truth) > 0.85
+    assert abs(called.mean() - 0.3) < 0.08
+
+
+def test_scores_depend_on_the_text_alone(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = quality.train_quality(docs, labels)
+    again = quality.train_quality(docs.repartition(3), labels.repartition(2))
+    assert np.allclose(model.weights, again.weights)
+
+
+def base_places(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+    found = []
+    for phrase, label in license_scan.BASE.items():
+        parts = phrase.split()
+        found += [(at, label) for at in range(len(words)) if words[at : at + len(parts)] == parts]
+    starts = [at for at, _ in found]
+    return len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))
+
+
+def test_base_phrases_against_all_places(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    added = [(-1, "Under the MIT-License, under the mit license."), (-2, "CC BY-NC 4.0; apache license, VERSION 2.0"), (-3, "the mit licenses cc by ncx"), (-4, None)]
+    rows = license_scan.license_scan(spark.createDataFrame([tuple(r) for r in docs] + added, "doc_id long, text string")).collect()
+    expected = {i: base_places(t) for i, t in [tuple(r) for r in docs] + added}
+    assert {r["doc_id"]: tuple(r)[1:6] for r in rows} == expected
+    assert sum(e[1] > 0 for e in expected.values()) > 3
+    for row in rows:
+        assert set(filter(None, row["base_labels"].split(","))) <= set(row["labels"].split(","))
+        assert 0 <= row["score"] <= 1 and (row["score"] == 1) == (row["n_base"] > 0)
+
+
+def test_rules_are_many_gated_and_ranked():
+    assert len(license_scan.RULES) > 300
+    words = b"licensed under the gnu lesser general public license version 3".split()
+    assert {(d.label, d.start, d.end) for d in license_scan.detect(words)} == {("lgpl-3", 0, 10)}
+    assert license_scan.detect(b"nothing of the kind".split()) == []
+    inner = license_scan.Detection("b", 2, 4, 50, 1)
+    outer = license_scan.Detection("a", 1, 5, 60, 2)
+    assert license_scan.kept([inner, outer]) == [outer]
+    assert license_scan.kept([inner._replace(priority=70), outer]) == [outer, inner._replace(priority=70)]
+
+
+def field(number, value):
+    if isinstance(value, bytes):
+        return bytes([number << 3 | 2]) + length(len(value)) + value
+    if isinstance(value, float):
+        return bytes([number << 3 | 5]) + struct.pack("<f", value)
+    return length(number << 3) + length(value)
+
+
+def length(n):
+    out = b""
+    while n > 0x7F:
+        out, n = out + bytes([n & 0x7F | 0x80]), n >> 7
+    return out + bytes([n])
+
+
+def unigram_model(fewer_blanks):
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]
+    pieces += [("▁", -3.0, 1), ("▁a", -2.5, 1), ("b", -4.0, 1), ("ab", -3.5, 1), ("▁ab", -5.5, 1), ("a", -4.5, 1), ("ba", -4.2, 1)]
+    body = b"".join(field(1, field(1, t.encode()) + field(2, s) + field(3, k)) for t, s, k in pieces)
+    trainer = field(3, 1) + field(4, len(pieces)) + field(35, 1)
+    return body + field(2, trainer) + field(3, field(1, b"identity") + field(3, 1) + field(4, int(fewer_blanks)) + field(5, 1))
+
+
+TEXTS = ["", "a", "ab ba", "  a  b ", "abab\nba", "é ab🙂", " ", "baab abba", "a▁b"]
+
+
+@pytest.mark.parametrize("fewer_blanks", [False, True])
+def test_unigram_models_agree(fewer_blanks):
+    data = unigram_model(fewer_blanks)
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    coder = sentencepiece_codec.Coder(sentencepiece_codec.read_model(data))
+    assert coder.encode(TEXTS) == [reference.encode(text) for text in TEXTS]
+
+
+def test_all_documents_agree_and_come_back(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "  a\t\n b  "), (-4, "日本語 🙂 \x00")], "doc_id long, text string")
+    coded = sentencepiece_codec.encode(docs.union(odd), PIECE_MODEL, round_trip=True, parity=True)
+    rows = sentencepiece_codec.decode(coded, PIECE_MODEL).collect()
+    for row in rows:
+        assert row["decoded"] == row["text"]
+        assert (row["ids"] is None) == (row["text"] is None)
+        assert row["round_trip"] is not False and row["parity"] is not False
+
+
+def test_stages_of_the_pipeline(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line dedup", "SimHash near-dedup", "benchmark decontamination", "SentencePiece encoding and decoding",
+    ]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    passage = benchmark.select("text").first()[0]
+    good = docs.where("doc_id = 1").select("text").first()[0]
+    planted = [
+        (10_001, f"{good}\nA last line of its own, unlike all others here.", "en", "src1", 1),
+        (10_002, f"Something before. {passage} Something after.", "en", "src1", 1),
+        (10_003, None, "en", None, None),
+        (None, "A row without an id, in words that no other row has.", None, "src1", 1),
+    ]
+    docs = docs.union(spark.createDataFrame(planted, docs.schema))
+    ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
+    before = ids(docs)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = corpus_pipeline.stored(stage(spark, docs, SF_DIR), "stage")
+        after = ids(docs)
+        assert after <= before and None in after
+        if number < 4:
+            assert docs.columns == columns
+        if name == "line dedup":
+            assert after == before
+            left = docs.where("doc_id = 10001").first()
+            assert left["text"].split("\n")[-1].startswith("A last line") and left["n_chars"] == len(left["text"]) < len(good)
+        if name == "benchmark decontamination":
+            assert 10_002 in before and 10_002 not in after
+        before = after
+    assert docs.where("round_trip = FALSE").count() == 0
+    assert docs.where("n_tokens <> size(ids)").count() == 0
