@@ -3,16 +3,16 @@
 A name is a hash of what it stands for, so that tasks that never meet give equal names to equal runs
 and pairs. Whether a symbol takes part in a pair depends on its own class and its neighbour's; both
 follow from the names. So each symbol has a context, the stretch of words it is decided by: wherever
-that stretch stands again, the same symbol stands in the same place of it.
+that stretch stands again, the same symbol stands in the same place of it, with the same context.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-ROUNDS = 6
-#: In these rounds runs are named before pairs.
-RUN_ROUNDS = (0, 3)
+ROUNDS = 7
+#: In these rounds runs are named before pairs. Each widens the contexts by both neighbours.
+RUN_ROUNDS = (0,)
 #: Stands after each document; takes part in nothing.
 END = np.uint64(0)
 
@@ -37,22 +37,19 @@ def _named(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _runs(symbols, low, high, salt):
-    """Runs of two or more named by symbol and length; a run depends on both its neighbours."""
+    """Runs of two or more named by symbol and length; a run, also of one, ends where a neighbour differs."""
     n = len(symbols)
     first = np.ones(n, bool)
     first[1:] = (symbols[1:] != symbols[:-1]) | (symbols[1:] == END)
     starts = np.flatnonzero(first)
-    if len(starts) == n:
-        wide_low, wide_high = low.copy(), high.copy()
-    else:
-        ends = np.append(starts[1:], n) - 1
-        lengths = ends - starts + 1
-        run = lengths > 1
-        symbols, wide_low, wide_high = symbols[starts], low[starts], high[ends]
-        symbols[run] = _named(symbols[run], lengths[run].astype(np.uint64), 2 * salt + 1)
-        low, high = wide_low.copy(), wide_high.copy()
-    wide_low[1:] = np.minimum(wide_low[1:], low[:-1])
-    wide_high[:-1] = np.maximum(wide_high[:-1], high[1:])
+    ends = np.append(starts[1:], n) - 1
+    # The symbols next to the run, not all of the runs that these are part of.
+    before, after = np.maximum(starts - 1, 0), np.minimum(ends + 1, n - 1)
+    wide_low = np.minimum(np.minimum.reduceat(low, starts), np.minimum(low[before], low[after]))
+    wide_high = np.maximum(np.maximum.reduceat(high, starts), np.maximum(high[before], high[after]))
+    symbols, lengths = symbols[starts], ends - starts + 1
+    run = lengths > 1
+    symbols[run] = _named(symbols[run], lengths[run].astype(np.uint64), 2 * salt + 1)
     return symbols, wide_low, wide_high
 
 
@@ -60,20 +57,19 @@ def _pairs(symbols, low, high, salt):
     """Pairs of a symbol of the left class and one of the right class after it."""
     side = (mixed(symbols + _times(salt + 1)) >> np.uint64(63)).astype(np.int8)
     side[symbols == END] = 2
-    head = np.zeros(len(symbols), bool)
-    head[:-1] = (side[:-1] == 0) & (side[1:] == 1)
-    tail = np.append(False, head[:-1])
-    wide_low, wide_high = low.copy(), high.copy()
     # Left symbols are decided by what follows, right ones by what stands before.
-    at = np.flatnonzero(side[:-1] == 0)
-    wide_high[at] = np.maximum(high[at], high[at + 1])
-    at = np.flatnonzero(side[1:] == 1) + 1
-    wide_low[at] = np.minimum(low[at], low[at - 1])
-    heads = np.flatnonzero(head)
+    left = np.flatnonzero(side[:-1] == 0)
+    right = np.flatnonzero(side[1:] == 1) + 1
+    wide_low, wide_high = low.copy(), high.copy()
+    for at, other in ((left, left + 1), (right, right - 1)):
+        wide_low[at] = np.minimum(low[at], low[other])
+        wide_high[at] = np.maximum(high[at], high[other])
+    heads = left[side[left + 1] == 1]
     named = symbols.copy()
     named[heads] = _named(symbols[heads], symbols[heads + 1], 2 * salt + 2)
-    wide_low[heads] = np.minimum(low[heads], low[heads + 1])
-    return named[~tail], wide_low[~tail], wide_high[~tail]
+    stays = np.ones(len(symbols), bool)
+    stays[heads + 1] = False
+    return named[stays], wide_low[stays], wide_high[stays]
 
 
 def recompress(words: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -36,7 +36,8 @@ WINDOW = 50
 BUCKET_BYTES = 32_000_000
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 
-MESSAGE = "bucket int, direct boolean, docs binary, keys binary, checks binary"
+#: Keys of documents on their way to a bucket: ids in runs, `times` keys for each. `direct`: settled already.
+MESSAGE = "bucket int, direct boolean, docs binary, times binary, keys binary, checks binary"
 
 
 def word_names(words: list[bytes]) -> np.ndarray:
@@ -92,21 +93,36 @@ def _in_context(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return doc[inside], symbols[inside], low[inside], high[inside]
 
 
-def _messages(buckets: int, doc_ids, keys, checks, local_ids, local_keys) -> pa.RecordBatch:
-    """One row per bucket of what goes out, and of what the task has settled by itself."""
+def _rows(bucket_of: np.ndarray, buckets: int, direct: bool, docs, keys, checks=None) -> list[tuple]:
+    """A row per bucket: its documents with the number of their keys, and the keys."""
+    order = np.lexsort((docs, bucket_of))
+    cuts = np.searchsorted(bucket_of[order], np.arange(buckets + 1, dtype=np.uint64))
     rows = []
-    for direct, docs, names, more in ((False, doc_ids, keys, checks), (True, local_ids, local_keys, None)):
-        by = (names if not direct else mixed(docs.view(np.uint64))) % np.uint64(buckets)
-        order = np.argsort(by, kind="stable")
-        cuts = np.searchsorted(by[order], np.arange(buckets + 1))
-        for bucket in range(buckets):
-            some = order[cuts[bucket] : cuts[bucket + 1]]
-            if len(some):
-                extra = more[some].tobytes() if more is not None else b""
-                rows.append((bucket, direct, docs[some].tobytes(), names[some].tobytes(), extra))
-    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
-    columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
-    return pa.record_batch(columns, ["bucket", "direct", "docs", "keys", "checks"])
+    for bucket in np.flatnonzero(np.diff(cuts)).tolist():
+        some = order[cuts[bucket] : cuts[bucket + 1]]
+        ids = docs[some]
+        at = np.flatnonzero(_changes(ids))
+        times = np.diff(np.append(at, len(ids))).astype(np.int32)
+        extra = checks[some].tobytes() if checks is not None else b""
+        rows.append((bucket, direct, ids[at].tobytes(), times.tobytes(), keys[some].tobytes(), extra))
+    return rows
+
+
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
+    names = ["bucket", "direct", "docs", "times", "keys", "checks"]
+    return pa.record_batch([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], names)
+
+
+def _home(docs: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket in which a document's keys meet again."""
+    return mixed(docs.astype(np.int64).view(np.uint64)) % np.uint64(buckets)
+
+
+def _messages(buckets: int, doc_ids, keys, checks, local_ids, local_keys) -> pa.RecordBatch:
+    """What goes out to be compared, and what the task has settled by itself."""
+    out = _rows(keys % np.uint64(buckets), buckets, False, doc_ids, keys, checks)
+    return _table(out + _rows(_home(local_ids, buckets), buckets, True, local_ids, local_keys))
 
 
 def _symbol_messages(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
@@ -130,32 +146,30 @@ def _changes(values: np.ndarray) -> np.ndarray:
 
 def _read(table: pa.Table, direct: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = table.filter(pc.equal(table["direct"], direct))
-    return tuple(
+    docs, times, keys, checks = (
         np.frombuffer(b"".join(rows[name].to_pylist()), kind)
-        for name, kind in (("docs", np.int64), ("keys", np.uint64), ("checks", np.uint64))
+        for name, kind in (("docs", np.int64), ("times", np.int32), ("keys", np.uint64), ("checks", np.uint64))
     )
+    return np.repeat(docs, times), keys, checks
 
 
-def _per_document(docs: np.ndarray, keys: np.ndarray) -> pa.Table:
-    order = np.argsort(docs, kind="stable")
-    docs, keys = docs[order], keys[order]
-    starts = np.flatnonzero(_changes(docs))
-    ends = np.append(starts[1:], len(docs))
-    found = [keys[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
-    return pa.table({"doc_id": pa.array(docs[starts], pa.int64()), "keys": pa.array(found, pa.binary())})
+def _sent_home(table: pa.Table, buckets: int, docs: np.ndarray, keys: np.ndarray) -> pa.Table:
+    """Settled keys, those that came settled among them, for their documents' buckets."""
+    local_docs, local_keys, _ = _read(table, True)
+    docs, keys = np.concatenate([docs, local_docs]), np.concatenate([keys, local_keys])
+    return pa.Table.from_batches([_table(_rows(_home(docs, buckets), buckets, True, docs, keys))])
 
 
-def _shared_symbols(table: pa.Table) -> pa.Table:
+def _shared_symbols(table: pa.Table, buckets: int) -> pa.Table:
     """Symbols that more than one slice has; what one slice has twice is settled already."""
     docs, keys, _ = _read(table, False)
     order = np.argsort(keys, kind="stable")
     first = _changes(keys[order])
     shared = order[~(first & np.append(first[1:], True))]
-    local_docs, local_keys, _ = _read(table, True)
-    return _per_document(np.concatenate([docs[shared], local_docs]), np.concatenate([keys[shared], local_keys]))
+    return _sent_home(table, buckets, docs[shared], keys[shared])
 
 
-def _repeated_windows(table: pa.Table) -> pa.Table:
+def _repeated_windows(table: pa.Table, buckets: int) -> pa.Table:
     """Windows with a smaller id in another slice, and those with one in their own."""
     docs, keys, checks = _read(table, False)
     order = np.lexsort((docs, checks, keys))
@@ -163,13 +177,22 @@ def _repeated_windows(table: pa.Table) -> pa.Table:
     first = _changes(keys) | _changes(checks[order])
     smallest = docs[np.maximum.accumulate(np.where(first, np.arange(len(docs)), 0))]
     later = docs > smallest
-    local_docs, local_keys, _ = _read(table, True)
-    return _per_document(np.concatenate([docs[later], local_docs]), np.concatenate([keys[later], local_keys]))
+    return _sent_home(table, buckets, docs[later], keys[later])
+
+
+def _per_document(table: pa.Table) -> pa.Table:
+    docs, keys, _ = _read(table, True)
+    order = np.argsort(docs, kind="stable")
+    docs, keys = docs[order], keys[order]
+    starts = np.flatnonzero(_changes(docs))
+    ends = np.append(starts[1:], len(docs))
+    found = [keys[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
+    return pa.table({"doc_id": pa.array(docs[starts], pa.int64()), "flags": pa.array(found, pa.binary())})
 
 
 def _known(part: Slice, flags: list, doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which (document, key) are among the documents' flags."""
-    arrays = [np.frombuffer(b"".join(flag), np.uint64) if flag else np.empty(0, np.uint64) for flag in flags]
+    arrays = [np.frombuffer(flag or b"", np.uint64) for flag in flags]
     owner = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays]).astype(np.uint64)
     flagged = np.concatenate([*arrays, np.empty(0, np.uint64)])
     return np.isin(keys ^ mixed(doc.astype(np.uint64)), flagged ^ mixed(owner))
@@ -196,25 +219,29 @@ def _window_messages(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
 
 
 def _dealt(docs: DataFrame, messages: Callable, settle: Callable, buckets: int) -> DataFrame:
-    """doc_id, flags: per document the keys that `settle` leaves, as pieces."""
+    """doc_id, flags: the keys that `settle` leaves of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
-            yield messages(part, buckets)
+            part = part.filter(pc.and_(part["doc_id"].is_valid(), part["text"].is_valid()))
+            if part.num_rows:
+                yield messages(part, buckets)
+
+    def settled(table: pa.Table) -> pa.Table:
+        return settle(table, buckets)
 
-    found = docs.mapInArrow(run, MESSAGE).groupBy("bucket").applyInArrow(settle, "doc_id long, keys binary")
-    return found.groupBy("doc_id").agg(F.collect_list("keys").alias("flags"))
+    home = docs.mapInArrow(run, MESSAGE).groupBy("bucket").applyInArrow(settled, MESSAGE)
+    return home.groupBy("bucket").applyInArrow(_per_document, "doc_id long, flags binary")
 
 
 def repeated_windows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """doc_id, text, flags (hashes of the windows to remove, in pieces) for each row."""
+    """doc_id, text, flags (hashes of the windows to remove) for each row."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + size // bucket_bytes
     texts = docs.select("doc_id", "text")
-    named = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    symbols = _dealt(named, _symbol_messages, _shared_symbols, buckets)
-    flagged = texts.join(symbols, "doc_id", "left").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    windows = _dealt(flagged, _window_messages, _repeated_windows, buckets)
+    symbols = _dealt(texts, _symbol_messages, _shared_symbols, buckets)
+    # Both joins have the same left side, so Spark deals the texts out once.
+    windows = _dealt(texts.join(symbols, "doc_id", "left"), _window_messages, _repeated_windows, buckets)
     return texts.join(windows, "doc_id", "left")
 
 
@@ -229,7 +256,7 @@ def substring_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, with_text
             if flags:
                 part = Slice([encoded(text)])
                 at = part.windows()
-                hit = at[np.isin(part.hashes(at, 0), np.frombuffer(b"".join(flags), np.uint64))] - part.starts[0]
+                hit = at[np.isin(part.hashes(at, 0), np.frombuffer(flags, np.uint64))] - part.starts[0]
                 cover = np.zeros(len(words) + 1, np.int64)
                 np.add.at(cover, hit, 1)
                 np.add.at(cover, hit + WINDOW, -1)
