@@ -151,22 +151,20 @@ class Block:
         return found
 
     def near(self, window: np.ndarray, slop: int) -> np.ndarray:
-        """First places of stretches of len(window) + slop places that hold all of the window's words."""
+        """First places of stretches of len(window) + slop places, within a document, that hold all its words."""
         words, need = np.unique(window, return_counts=True)
         order = np.argsort(self.length[words], kind="stable")
         span = len(window) + slop
         rarest = self.of(words[order[0]])
+        doc = self.owner(rarest)
         # A stretch may begin up to span - 1 places before the rarest word.
-        found = np.unique((rarest[:, None] - np.arange(span)).ravel())
+        starts = np.maximum(rarest[:, None] - np.arange(span), self.starts[doc][:, None]).ravel()
+        ends = np.minimum(starts + span, np.repeat(self.starts[doc] + self.sizes[doc], span))
         for k in order:
-            if not len(found):
-                break
             others = self.of(words[k])
-            held = np.searchsorted(others, found + span) - np.searchsorted(others, found)
-            found = found[held >= need[k]]
-        doc = self.owner(found)
-        within = (doc >= 0) & (found + span <= self.starts[doc] + np.maximum(self.sizes[doc], span))
-        return found[within]
+            held = np.searchsorted(others, ends) - np.searchsorted(others, starts) >= need[k]
+            starts, ends = starts[held], ends[held]
+        return np.unique(starts)
 
 
 def search(index: DataFrame, part: Part, slop: int | None = None) -> DataFrame:
