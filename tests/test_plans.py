@@ -6,17 +6,16 @@ import pytest
 from conftest import TESTDATA, plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from tunemill.operators import batching, joins, positions
-from tunemill.plans import fixtures
+from tunemill.operators import batching, positions
+from tunemill.plans.queries import QUERIES
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "collate_batches", "run_on_ranks"}
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_cross_join_and_no_python_in_the_native_path(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in WITH_USER_CODE:
         assert not re.search("Python|Pandas", plan)
@@ -64,12 +63,7 @@ def test_token_arrays_are_shuffled_once(spark, conf, tmp_path):
 
 
 def test_scans_read_only_what_is_asked(spark):
-    plan = plan_of(entry.queries()["sequential_batches"](spark, SF_DIR))
+    plan = plan_of(QUERIES["sequential_batches"](spark, SF_DIR))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and not any("text" in s for s in schemas)
     assert "EqualTo(role,user)" in plan and "EqualTo(role,assistant)" in plan
-
-
-def test_hot_keys_are_few(spark):
-    plan = plan_of(joins.hot_keys(fixtures.table(spark, SF_DIR, "conversations"), "conv_id"))
-    assert "TakeOrderedAndProject(limit=10000" in plan and "partial_count" in plan

@@ -2,9 +2,8 @@ import random
 
 import pytest
 
-from pyspark.sql import functions as F
+from pyspark.errors import PySparkException
 
-from tunemill.operators.joins import hot_keys, left_join_spread
 from tunemill.operators.positions import (
     running_total_before,
     with_id_position,
@@ -61,16 +60,8 @@ def test_running_total_with_small_blocks(spark):
         assert r["before"] == sum(v for k, at, v in rows if k == r["k"] and at < r["at"])
 
 
-def test_spread_join_equals_a_left_join(spark):
-    left = spark.range(2000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id")).alias("k")
-    )
-    right = spark.range(0, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).union(
-        spark.sql("SELECT 1L, -1L")
-    )
-    hot = hot_keys(left.where("k IS NOT NULL"), "k", rows=100)
-    assert [r["k"] for r in hot.collect()] == [1]
-    joined = left_join_spread(left, right, "k", F.col("id"), hot)
-    assert sorted(joined.select("id", "k", "v").collect(), key=str) == sorted(
-        left.join(right, "k", "left").select("id", "k", "v").collect(), key=str
-    )
+@pytest.mark.parametrize("rows", [[(None, 1)], [(1, None)]])
+def test_null_orders_and_groups_nothing(spark, rows):
+    df = spark.createDataFrame([*rows, (2, 2)], "id bigint, k bigint")
+    with pytest.raises(PySparkException, match="NULL in"):
+        with_id_position(df, "id", ["k"]).collect()

@@ -3,6 +3,7 @@ import collections
 import pytest
 import regex
 from conftest import plan_of
+from pyspark.errors import PySparkException
 
 from tunemill.functions.tokens import BOS_ID, UNK_ID
 from tunemill.operators.tokenization import Vocabulary, build_vocab, tokenize
@@ -38,12 +39,12 @@ def test_vocabulary_is_the_most_frequent_tokens(texts, size):
     assert found == expected_vocab(size)
 
 
-@pytest.mark.parametrize("inline_limit", [1000, 0])
+@pytest.mark.parametrize("joined", [False, True])
 @pytest.mark.parametrize("max_length", [None, 512, 3])
-def test_ids_masks_and_lengths(texts, inline_limit, max_length):
+def test_ids_masks_and_lengths(texts, joined, max_length):
     vocab = expected_vocab(6)
     rows = tokenize(
-        texts, build_vocab(texts, 6), max_length=max_length, inline_limit=inline_limit
+        texts, build_vocab(texts, 6), max_length=max_length, joined=joined
     ).collect()
     assert len(rows) == len(TEXTS)
     for row in rows:
@@ -80,3 +81,12 @@ def test_lookup_needs_no_shuffle_and_no_copy_of_the_vocabulary(spark, texts):
     assert "Python" not in plan
     # The subquery is an argument of the lookup, not a column of its own.
     assert "_lookup" not in plan
+
+
+@pytest.mark.parametrize(("ids", "message"), [([None, 1], "NULL in id"), ([1, 1], "repeated id 1")])
+def test_the_join_needs_ids(spark, ids, message):
+    df = spark.createDataFrame([(ids[0], "a a"), (ids[1], "a b a")], "id bigint, text string")
+    vocabulary = build_vocab(df, 5)
+    with pytest.raises(PySparkException, match=message):
+        tokenize(df, vocabulary, joined=True).collect()
+    assert [r["n_tokens"] for r in tokenize(df, vocabulary).collect()] == [3, 4]

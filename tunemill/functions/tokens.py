@@ -18,11 +18,6 @@ def split_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def truncate(ids: Column, max_length: int = MAX_LENGTH) -> Column:
-    """The first `max_length` ids; a BOS id put in front counts."""
-    return F.slice(ids, 1, max_length)
-
-
 def attention_mask(ids: Column) -> Column:
     """One 1 for every id of an unpadded row."""
     return F.array_repeat(F.lit(1).cast("tinyint"), F.size(ids))

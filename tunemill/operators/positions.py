@@ -22,9 +22,16 @@ BLOCK_BITS = 24
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    # The joins below ask for this anyway. Asked for at the start, both sides of a join begin
-    # with the same plan, and Spark runs it once.
-    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    """`df`, in which a NULL in one of `columns` is an error."""
+    kinds = {field.name: field.dataType for field in df.schema}
+    checked = {
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in {c.strip('_')}, which has to order or group rows")).cast(kinds[c]))
+        for c in columns
+    }
+    # The joins below ask for values. Asked for here, both sides of a join begin with the same
+    # plan, and Spark runs it once.
+    present = [F.col(c).isNotNull() for c in columns]
+    return df.withColumns(checked).where(reduce(and_, present))
 
 
 def running_total_before(

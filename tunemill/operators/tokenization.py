@@ -16,8 +16,6 @@ from tunemill.functions.tokens import (
     split_tokens,
 )
 
-# Up to this many tokens the vocabulary travels with the tasks; a larger one is joined.
-INLINE_LIMIT = 262_144
 _TOKENS_PER_SLOT = 4
 _SALTS = 16
 
@@ -56,22 +54,26 @@ def tokenize(
     id_column: str = "id",
     max_length: int | None = MAX_LENGTH,
     add_bos: bool = True,
-    inline_limit: int = INLINE_LIMIT,
+    joined: bool = False,
 ) -> DataFrame:
     """Adds `input_ids`, `attention_mask` and `n_tokens`.
 
     Tokens outside the vocabulary get the unknown id. `max_length` cuts the tail, counting
     the BOS id; None keeps every token.
+
+    The vocabulary travels with the tasks as one value. With `joined` it is joined instead, for
+    a vocabulary too large for that; the result is the same. The join puts rows together by
+    `id_column`, so there a NULL or repeated id is an error.
     """
     # A missing text has no tokens.
     tokens = F.coalesce(split_tokens(F.col(text)), F.array().cast("array<string>"))
     if max_length is not None:
         # Cutting before the lookup gives the same ids with less to look up.
         tokens = F.slice(tokens, 1, max_length - int(add_bos))
-    if vocabulary.size <= inline_limit:
-        encoded = _encode_inline(df, tokens, vocabulary)
-    else:
+    if joined:
         encoded = _encode_by_join(df, tokens, vocabulary, id_column)
+    else:
+        encoded = _encode_inline(df, tokens, vocabulary)
     ids = F.col("_ids")
     if add_bos:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
@@ -125,16 +127,25 @@ def _encode_by_join(
     df: DataFrame, tokens: Column, vocabulary: Vocabulary, id_column: str
 ) -> DataFrame:
     # A frequent token would fill one join partition, so both sides carry a salt.
+    missing = F.raise_error(F.lit(f"NULL in {id_column}"))
+    df = df.withColumn(id_column, F.coalesce(F.col(id_column), missing.cast(df.schema[id_column].dataType)))
     exploded = df.select(id_column, F.posexplode(tokens).alias("pos", "token")).withColumn(
         "salt", F.pmod("pos", F.lit(_SALTS)).cast("int")
     )
     salted = vocabulary.table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     found = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {id_column} "), F.col(id_column).cast("string")))
+    # Places count up from 0, so a second row of the same id shows in their number.
     encoded = (
         exploded.join(salted, ["token", "salt"], "left")
         .groupBy(id_column)
-        .agg(F.sort_array(F.collect_list(found)).alias("_found"))
-        .select(id_column, F.col("_found.token_id").alias("_ids"))
+        .agg(F.sort_array(F.collect_list(found)).alias("_found"), F.max("pos").alias("_last"))
+        .select(
+            id_column,
+            F.when(F.size("_found") == F.col("_last") + 1, F.col("_found.token_id"))
+            .otherwise(repeated.cast("array<int>"))
+            .alias("_ids"),
+        )
     )
     empty = F.array().cast("array<int>")
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,12 +30,12 @@ def build_session(app_name: str = "tunemill", master: str | None = None, **setti
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, in the folder the cluster shares.
 
-    The folder is `spark.checkpoint.dir`. Where it is unset a local master may use a
-    temporary folder; on a cluster the executors would not see it, so that is an error.
+    The folder is `spark.checkpoint.dir`. Where it is unset, a master of one process (tests,
+    mostly) uses a temporary folder; anywhere else that is an error, as executors would not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tunemill-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
