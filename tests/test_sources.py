@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tunemill.session import scratch_path
-from tunemill.sources import files, instructions, sinks, tables
+from tunemill.sources import files, instructions, sinks
 
 SCHEMA = "id bigint, instruction string, response string, context string, category string, split string"
 ROWS = [
@@ -84,7 +84,8 @@ def test_manifest_and_pending_files(spark, tmp_path):
         [("repo", "a.bin", 2), ("repo", "sub/b.bin", 9), ("repo", "c.bin", 1), ("repo", "c.bin", 1)],
         "repo string, name string, length bigint",
     )
-    manifest = files.file_manifest(names, f"{tmp_path}/").withColumn(
+    models = spark.createDataFrame([("repo", "repo")], "lib string, repo string")
+    manifest = files.file_manifest(models, names, f"{tmp_path}/").withColumn(
         "length", F.when(F.col("name") == "sub/b.bin", 9).when(F.col("name") == "a.bin", 2).otherwise(1).cast("bigint")
     )
     assert [r["name"] for r in files.pending_files(manifest, present).collect()] == ["c.bin"]
@@ -107,11 +108,16 @@ def test_written_batches_are_read_by_rank(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(rank" in plan_of(one)
 
 
-def test_only_small_tables_are_spread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).coalesce(1).write.parquet(path)
-    assert "Exchange" in plan_of(tables.read_spread(spark, path))
-    assert "Exchange" not in plan_of(tables.read_spread(spark, path, small=10))
+def test_epochs_are_not_mixed(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    batches = spark.range(48).select(
+        (F.col("id") % 2).cast("int").alias("rank"), (F.col("id") / 24).cast("int").alias("epoch"),
+        (F.col("id") % 24 / 4).cast("bigint").alias("step"), (F.col("id") / 2 % 2).cast("int").alias("slot"), "id",
+    )
+    sinks.write_batches(batches, path)
+    for file in (tmp_path / "batches" / "rank=1").glob("*.parquet"):
+        order = [(r["epoch"], r["step"], r["slot"]) for r in spark.read.parquet(str(file)).collect()]
+        assert order == sorted(order)
 
 
 def test_scratch_folder_comes_from_the_session(spark, conf):

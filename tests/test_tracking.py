@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from tunemill.sources import configs, sinks
 
 
 def test_config_from_dict_and_from_file_agree(spark, tmp_path):
-    config = configs.base_config()
+    config = configs.engine_config()
     path = tmp_path / "engine.json"
     path.write_text(json.dumps(config, indent=2))
     shown = F.to_json("config").alias("c")
@@ -78,9 +79,9 @@ def test_names_layout_and_parents(spark):
 
 def test_conflicts_of_the_fixed_values(spark):
     """The two sides agree on what they share and differ in three places."""
-    engine = configs.load_config(spark, configs.base_config()).withColumn("run_id", F.lit(1))
+    engine = configs.load_config(spark, configs.engine_config()).withColumn("run_id", F.lit(1))
     trainer = configs.load_config(
-        spark, {**configs.trainer_arguments(), "betas": [0.9, 0.95]}
+        spark, {**configs.TRAINER_VALUES, "betas": [0.9, 0.95]}
     ).withColumn("run_id", F.lit(1))
     params = tracking.engine_params(engine, F.col("config")).union(
         sinks.explode_params(trainer, F.col("config"), tracking.TRAINER)
@@ -110,6 +111,8 @@ def test_engine_params_leave_out_what_is_not_set(spark):
         ("4", None, True),
         (None, "4", True),
         ("x", "4", True),
+        ("[0.9, 0.999]", "[0.9,0.999]", False),
+        ("[0.9, 0.95]", "[0.9,0.999]", True),
     ],
 )
 def test_agreement(spark, trainer, engine, conflict):
@@ -135,7 +138,7 @@ def test_params_and_metrics_are_appended(spark, tmp_path):
     runs = configs.load_config(spark, {"a": 1, "b": {"c": "x"}}).withColumn("run_id", F.lit(7))
     sinks.append_params(sinks.explode_params(runs, F.col("config"), "hf"), path)
     sinks.append_params(sinks.explode_params(runs, cf.prefix_keys(F.col("config")), "ds_"), path)
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {
+    assert {tuple(r) for r in spark.read.parquet(path).select(*sinks.PARAM_COLUMNS).collect()} == {
         (7, "hf", "a", "1"), (7, "hf", "b", '{"c":"x"}'),
         (7, "ds_", "ds_a", "1"), (7, "ds_", "ds_b", '{"c":"x"}'),
     }
@@ -145,6 +148,49 @@ def test_params_and_metrics_are_appended(spark, tmp_path):
     )
     sinks.append_metrics(metrics, path)
     sinks.append_metrics(metrics, path)
+    sinks.append_metrics(metrics.withColumn("global_step", F.lit(4).cast("bigint")), path)
     stored = spark.read.parquet(path)
-    assert stored.columns == sinks.METRIC_COLUMNS and stored.count() == 2
+    assert sorted(stored.columns) == sorted(sinks.METRIC_COLUMNS) and stored.count() == 2
     assert tracking.rank0_metrics(stored).count() == 2
+
+
+def test_a_cut_off_file_is_an_error(spark, tmp_path):
+    (tmp_path / "engine.json").write_text('{"a": 1, "b": {')
+    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed|corrupt|parse"):
+        configs.load_config(spark, str(tmp_path / "engine.json")).collect()
+
+
+def test_two_files_are_no_configuration(spark, tmp_path):
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text("{}")
+    with pytest.raises(PySparkException, match="not one file"):
+        configs.load_config(spark, str(tmp_path)).collect()
+
+
+def test_batch_size_is_resolved_in_the_configuration(spark):
+    runs = spark.createDataFrame([(1, 2, 3, "r")], "run_id int, gpus int, nodes int, run_name string")
+    factors = {"train_batch_size": "auto", "train_micro_batch_size_per_gpu": 4, "gradient_accumulation_steps": 5}
+    row = tracking.resolve_batch_size(runs.withColumn("config", configs.config_literal(factors)))
+    shown = row.select("global_batch_size", F.to_json("config").alias("c")).first()
+    assert shown["global_batch_size"] == 120 and json.loads(shown["c"]) == {**factors, "train_batch_size": 120}
+    params = {(r["source"], r["key"]): r["value"] for r in tracking.logged_params(row, "/out").collect()}
+    assert params["hf", "output_dir"] == "/out" and params["hf", "run_name"] == "r"
+    assert json.loads(params["hf", "deepspeed"])["train_batch_size"] == 120
+    assert params["ds_", "ds_train_batch_size"] == "120" and ("hf", "ddp_find_unused_parameters") in params
+    odd = runs.withColumn("config", configs.config_literal({"train_batch_size": "auto"}))
+    assert tracking.resolve_batch_size(odd).select(F.to_json("config")).first()[0] == '{"train_batch_size":"auto"}'
+
+
+def test_a_launch_becomes_its_runs(spark):
+    launches = spark.createDataFrame(
+        [(7, 2, 1, "x", 3), (8, 1, 2, "y", 3)], "launch_id int, gpus int, nodes int, run_name string, parent_run_id int"
+    )
+    assert sorted(map(tuple, tracking.expand_runs(launches).collect())) == [
+        (7, 0, "x", None), (7, 1, "x_rank_1", None), (8, 0, "y", 3), (8, 1, "y_rank_1", 3),
+    ]
+
+
+def test_repeated_parameters_are_conflicts(spark):
+    rows = [(1, "hf", "bf16", "true"), (1, "hf", "bf16", "false"), (1, "ds_", "bf16.enabled", "true")]
+    df = spark.createDataFrame(rows, "run_id int, source string, key string, value string")
+    assert [r["trainer_value"] for r in tracking.config_conflicts(df).collect()] == ["false | true"]

@@ -64,8 +64,11 @@ def test_scored_pairs(spark):
 
 def test_logged_loss(spark):
     df = spark.range(1, 24).select(
-        F.lit(1).alias("run_id"), F.col("id").alias("global_step"), F.col("id").cast("double").alias("value")
+        F.lit(1).alias("run_id"), F.col("id").alias("step"), (F.col("id") * 1.0).alias("train_loss")
     )
+    df = training.loss_record(df.withColumn("step", F.col("step") - 1), run_id=1)
+    # Another rank's rows of the same steps add no steps, the steps' own rows no loss.
+    df = df.union(df.withColumn("rank", F.lit(1)))
     rows = {r["log_step"]: (r["loss"], r["steps"]) for r in training.logged_loss(df).collect()}
     assert rows == {10: (5.5, 10), 20: (15.5, 10), 30: (22.0, 3)}
 

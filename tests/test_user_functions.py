@@ -58,29 +58,32 @@ def test_collate_sees_whole_batches(spark, conf, transfer):
     assert {(r["id"], r["n"]) for r in rows} == {(i, 4 if i < 8 else 2) for i in range(10)}
 
 
-def test_each_rank_gets_its_rows_in_order(spark):
+def test_step_ranges_of_a_rank(spark):
     df = batching.shard_batches(batching.sequential_batches(spark.range(40)), 4)
 
-    def trace(frames):
+    def trace(frame):
         import pandas as pd
 
-        seen = pd.concat(list(frames))
-        yield pd.DataFrame(
-            {
-                "rank": [int(seen["rank"].iloc[0])],
-                "one_rank": [seen["rank"].nunique() == 1],
-                "ids": [",".join(map(str, seen["id"]))],
-            }
-        )
+        return pd.DataFrame({"rank": [int(frame["rank"].iloc[0])], "ids": [",".join(map(str, frame["id"]))]})
 
-    rows = user_functions.run_on_ranks(df, trace, 4, "rank int, one_rank boolean, ids string").collect()
+    rows = user_functions.map_step_ranges(df, trace, "rank int, ids string", steps=2).collect()
     order = [*range(40), *range(8)]
-    expected = {r: [order[v] for v in range(48) if v // 4 % 4 == r] for r in range(4)}
-    assert all(r["one_rank"] for r in rows)
-    assert {r["rank"]: list(map(int, r["ids"].split(","))) for r in rows} == expected
+    expected = {
+        (r, ",".join(str(order[v]) for v in range(48) if v // 4 % 4 == r and v // 32 == part)) for r in range(4) for part in range(2)
+    }
+    assert {tuple(r) for r in rows} == expected
 
 
-def test_more_ranks_than_slots_is_an_error(spark):
-    df = spark.range(1).select(F.lit(0).alias("rank"), F.lit(0).alias("step"), F.lit(0).alias("slot"))
-    with pytest.raises(ValueError, match="slots"):
-        user_functions.run_on_ranks(df, lambda f: f, 10_000, "rank int")
+def test_map_rows_keeps_values(spark):
+    rows = [(2**53 + 1, float("nan"), None), (None, None, "x")]
+    df = spark.createDataFrame(rows, "id bigint, v double, t string")
+    found = user_functions.map_rows(df, lambda r: {"n": r["id"], "t": repr(r["t"])}, "n bigint, t string").collect()
+    first, second = sorted(found, key=lambda r: r["t"], reverse=True)
+    assert (first["id"], first["n"], first["t"]) == (2**53 + 1, 2**53 + 1, "None") and first["v"] != first["v"]
+    assert (second["id"], second["n"], second["v"], second["t"]) == (None, None, None, "'x'")
+
+
+def test_tokenizer_contract(spark):
+    df = spark.createDataFrame([(1, None), (2, "a" * 600)], "id bigint, text string")
+    rows = user_functions.tokenize_with(df, lambda: lambda texts: [list(t.encode()) for t in texts]).orderBy("id").collect()
+    assert [(r["n_tokens"], len(r["input_ids"]), len(r["attention_mask"])) for r in rows] == [(0, 0, 0), (512, 512, 512)]

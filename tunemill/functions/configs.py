@@ -12,8 +12,11 @@ CPU_ADAM, FUSED_ADAM = "DeepSpeedCPUAdam", "FusedAdam"
 
 
 def parse_config(text: Column) -> Column:
-    """JSON text to a map of its top-level keys; nested sections stay one value."""
-    return F.from_json(text, CONFIG_TYPE)
+    """JSON text to a map of its top-level keys; nested sections stay one value.
+
+    Text that is cut off or no JSON object is an error.
+    """
+    return F.from_json(text, CONFIG_TYPE, {"mode": "FAILFAST"})
 
 
 def prefix_keys(config: Column, prefix: str = "ds_") -> Column:

@@ -80,13 +80,16 @@ def shard_replicated(df: DataFrame, world_size: int) -> DataFrame:
     return df.withColumn("rank", F.explode(ranks)).withColumn("step", F.col("batch_id"))
 
 
-def shard_batches(df: DataFrame, world_size: int, batch_size: int = BATCH_SIZE) -> DataFrame:
+def shard_batches(
+    df: DataFrame, world_size: int, batch_size: int = BATCH_SIZE, rows: Column | None = None
+) -> DataFrame:
     """Batch b goes to rank b % W as its step b div W, the same number of steps for all.
 
     Where the rows do not fill the last round of batches, it goes on with rows from the
-    start, over again if need be.
+    start, over again if need be. `rows` is their number, where a cheaper table than `df` has it.
     """
-    rows = df.agg(F.count(F.lit(1))).scalar()
+    if rows is None:
+        rows = df.agg(F.count(F.lit(1))).scalar()
     round_size = batch_size * world_size
     return (
         _cut(
@@ -106,9 +109,13 @@ def epoch_replay(df: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
 
 
-def with_global_step(df: DataFrame) -> DataFrame:
-    """Adds `global_step`, which does not start over with the epoch as `step` does."""
-    steps = df.agg(F.max("step") + 1).scalar()
+def with_global_step(df: DataFrame, steps: Column | None = None) -> DataFrame:
+    """Adds `global_step`, which does not start over with the epoch as `step` does.
+
+    `steps` is the number of steps in an epoch, where it is known without reading `df`.
+    """
+    if steps is None:
+        steps = df.agg(F.max("step") + 1).scalar()
     return (
         df.withColumn("_steps", steps)
         .withColumn("global_step", F.col("epoch") * F.col("_steps") + F.col("step"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunemill.functions import configs as cf
 from tunemill.functions.configs import config_leaf
-from tunemill.operators.joins import hot_keys, left_join_spread
-from tunemill.sources.configs import ZERO_STAGES, config_variants
+from tunemill.sources.configs import TRAINER_VALUES, ZERO_STAGES, config_literal, config_variants
+from tunemill.sources.sinks import explode_params
 
 # Trainer keys and the engine keys that have to agree with them.
 KEY_PAIRS = [
@@ -32,15 +35,62 @@ def rank0_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def run_tree(runs: DataFrame) -> DataFrame:
-    """Each run with its parent's name and rank, NULL for a run without parent."""
+    """Each run with its parent's name and rank, NULL for a run without parent.
+
+    Where `nodes` is known, a run on a single node has no parent. A parent of very many runs is left
+    to Spark, which splits such keys at run time.
+    """
+    if "nodes" in runs.columns:
+        runs = runs.withColumn("parent_run_id", cf.multinode_parent(F.col("nodes"), F.col("parent_run_id")))
     parents = runs.select(
         F.col("run_id").alias("parent_run_id"),
         F.col("run_name").alias("parent_name"),
         F.col("rank").alias("parent_rank"),
     )
-    with_parent = runs.where(F.col("parent_run_id").isNotNull())
-    return left_join_spread(
-        runs, parents, "parent_run_id", F.col("run_id"), hot_keys(with_parent, "parent_run_id")
+    return runs.join(parents, "parent_run_id", "left")
+
+
+def expand_runs(launches: DataFrame) -> DataFrame:
+    """One run per process of each launch: launch_id, rank, run_name, parent_run_id.
+
+    `launches` has launch_id, gpus, nodes, run_name and parent_run_id.
+    """
+    ranks = F.sequence(F.lit(0), cf.num_processes(F.col("gpus"), F.col("nodes")) - 1)
+    return launches.withColumn("rank", F.explode(ranks)).select(
+        "launch_id",
+        "rank",
+        cf.run_name(F.col("run_name"), F.col("rank")).alias("run_name"),
+        cf.multinode_parent(F.col("nodes"), F.col("parent_run_id")).alias("parent_run_id"),
+    )
+
+
+def resolve_batch_size(runs: DataFrame) -> DataFrame:
+    """`runs` with the product of its factors as train_batch_size in `config`, also as `global_batch_size`.
+
+    Rows per device and accumulation are read from the configuration, the number of processes from
+    `gpus` and `nodes`. A factor that is missing or no whole number gives NULL and leaves `config`.
+    """
+    per_device, accumulation = (
+        config_leaf(F.col("config"), key, "$", "bigint")
+        for key in ("train_micro_batch_size_per_gpu", "gradient_accumulation_steps")
+    )
+    size = cf.global_batch_size(per_device, accumulation, cf.num_processes(F.col("gpus"), F.col("nodes")))
+    resolved = cf.replace_section(F.col("config"), "train_batch_size", F.parse_json(F.col("global_batch_size").cast("string")))
+    return runs.withColumn("global_batch_size", size).withColumn(
+        "config", F.when(F.col("global_batch_size").isNotNull(), resolved).otherwise(F.col("config"))
+    )
+
+
+def logged_params(runs: DataFrame, output_dir: str, trainer: dict = TRAINER_VALUES) -> DataFrame:
+    """(run_id, source, key, value): all arguments of the trainer and the engine's configuration."""
+    own = F.create_map(
+        F.lit("output_dir"), F.parse_json(F.lit(json.dumps(output_dir))),
+        F.lit("run_name"), F.try_variant_get(F.parse_json(F.to_json(F.array("run_name"))), "$[0]", "variant"),
+        F.lit("deepspeed"), F.parse_json(F.to_json("config")),
+    )
+    arguments = F.map_concat(config_literal(trainer), own)
+    return explode_params(runs, arguments, TRAINER).union(
+        explode_params(runs, cf.prefix_keys(F.col("config"), ENGINE), ENGINE)
     )
 
 
@@ -85,9 +135,10 @@ def engine_params(runs: DataFrame, config: Column) -> DataFrame:
 def config_conflicts(params: DataFrame) -> DataFrame:
     """Parameters on which trainer and engine disagree, one row per run and key pair.
 
-    `params` is (run_id, source, key, value). Numbers are compared as numbers, other values
-    without regard to case. "auto" on either side agrees with anything; a key missing on one
-    side does not.
+    `params` is (run_id, source, key, value). Numbers are compared as numbers, lists and sections
+    by their values, everything else without regard to case. "auto" on either side agrees with
+    anything; a key missing on one side does not. A key that a side holds with several values
+    is a conflict; they are shown with bars between.
     """
     spark = params.sparkSession
     pairs = key_pairs(spark)
@@ -95,15 +146,21 @@ def config_conflicts(params: DataFrame) -> DataFrame:
         pairs.select(F.lit(ENGINE).alias("source"), F.col("engine_key").alias("key"), "*")
     )
 
-    def side(source: str) -> Column:
-        return F.max(F.when(F.col("source") == source, F.col("value")))
+    def held(source: str) -> Column:
+        return F.collect_set(F.when(F.col("source") == source, F.col("value")))
+
+    def shown(values: str) -> Column:
+        return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), " | "))
 
     both = (
         params.join(F.broadcast(sides), ["source", "key"])
         .groupBy("run_id", "trainer_key", "engine_key")
-        .agg(side(TRAINER).alias("trainer_value"), side(ENGINE).alias("engine_value"))
+        .agg(held(TRAINER).alias("_trainer"), held(ENGINE).alias("_engine"))
+        .withColumn("trainer_value", shown("_trainer"))
+        .withColumn("engine_value", shown("_engine"))
     )
-    return both.where(~_agree(F.col("trainer_value"), F.col("engine_value")))
+    repeated = (F.size("_trainer") > 1) | (F.size("_engine") > 1)
+    return both.where(repeated | ~_agree(F.col("trainer_value"), F.col("engine_value"))).drop("_trainer", "_engine")
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -113,5 +170,10 @@ def _agree(a: Column, b: Column) -> Column:
     return (
         F.when(is_auto, F.lit(True))
         .when(both_numbers, number_a == number_b)
-        .otherwise(F.lower(a).eqNullSafe(F.lower(b)))
+        .otherwise(_canonical(a).eqNullSafe(_canonical(b)))
     )
+
+
+def _canonical(value: Column) -> Column:
+    """Without the blanks and the order of keys that a JSON text may have; lower case."""
+    return F.lower(F.coalesce(F.try_parse_json(value).cast("string"), value))

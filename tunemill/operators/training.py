@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.integers import ceil_div, whole_div
-from tunemill.functions.labels import IGNORED_LABEL, scored_pairs, shifted_pairs
+from tunemill.functions.labels import scored_pairs
 from tunemill.operators.batching import BATCH_SIZE, EPOCHS
 from tunemill.operators.positions import running_total_before
 
 # Fixed values of the workload.
 LOGGING_STEPS = 10
 SAVE_STEPS = 50
-OUTPUT_DIR = "/local_disk0/results"
+TRAIN_LOSS = "train_loss"
 
 STEP_BITS = 16
 
@@ -32,15 +32,14 @@ def bigram_train_loss(
     and only then counted themselves.
     """
     vocab = vocab_size if isinstance(vocab_size, Column) else F.lit(vocab_size)
+    # Ignored labels go before the rows are multiplied. Padding makes no pair that counts, so
+    # rows needn't be padded.
+    scored = scored_pairs(F.col("input_ids"), F.col("labels"))
     pairs = (
-        batches.select(
-            F.col(step).cast("bigint").alias("step"),
-            F.inline(shifted_pairs(F.col("input_ids"), F.col("labels"))),
-        )
+        batches.select(F.col(step).cast("bigint").alias("step"), F.inline(scored))
         # The joins below ask for values too. Asked for here, every use of the pairs begins
         # with the same plan, and Spark counts them once.
         .where(F.col("step").isNotNull() & F.col("prev").isNotNull() & F.col("next").isNotNull())
-        .where(F.col("next") != IGNORED_LABEL)
         .groupBy("step", "prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -61,23 +60,47 @@ def bigram_train_loss(
     )
 
 
+def loss_record(losses: DataFrame, run_id: Column | int, rank: Column | int = 0, epoch: Column | int = 0) -> DataFrame:
+    """Rows for the metrics table from (step, train_loss): the loss and the step, under their keys.
+
+    Steps count from 0, global steps from 1.
+    """
+    def column(value: Column | int, kind: str) -> Column:
+        return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
+
+    logged = F.array(
+        F.struct(F.lit(TRAIN_LOSS).alias("key"), F.col("train_loss").cast("double").alias("value")),
+        F.struct(F.lit("step").alias("key"), (F.col("step") + 1).cast("double").alias("value")),
+    )
+    return losses.select(
+        column(run_id, "bigint").alias("run_id"),
+        column(rank, "int").alias("rank"),
+        column(epoch, "int").alias("epoch"),
+        F.col("step").cast("bigint").alias("step"),
+        (F.col("step") + 1).cast("bigint").alias("global_step"),
+        F.inline(logged),
+    )
+
+
 def logged_loss(
-    metrics: DataFrame, logging_steps: int = LOGGING_STEPS, value: str = "value"
+    metrics: DataFrame, logging_steps: int = LOGGING_STEPS, value: str = "value", key: str = TRAIN_LOSS
 ) -> DataFrame:
     """Mean loss since the last log, one row per run and stretch of `logging_steps` steps.
 
-    `steps` tells how many steps the mean covers. A trainer logs only the full stretches;
-    the rest of a run that ends in between is the row with fewer.
+    Only the rows logged under `key` count. `steps` tells how many different steps the mean
+    covers. A trainer logs only the full stretches; the rest of a run that ends in between is
+    the row with fewer.
     """
+    metrics = metrics.where(F.col("key") == key)
     stretch = whole_div(F.col("global_step") - 1, logging_steps)
     return (
         metrics.groupBy("run_id", ((stretch + 1) * logging_steps).alias("log_step"))
-        .agg(F.avg(value).alias("loss"), F.count(F.lit(1)).alias("steps"))
+        .agg(F.avg(value).alias("loss"), F.count_distinct("global_step").alias("steps"))
     )
 
 
 def checkpoint_steps(
-    metrics: DataFrame, save_steps: int = SAVE_STEPS, output_dir: str = OUTPUT_DIR
+    metrics: DataFrame, output_dir: str, save_steps: int = SAVE_STEPS
 ) -> DataFrame:
     """The steps of each run after which a checkpoint is saved, and where."""
     return (

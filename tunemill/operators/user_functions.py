@@ -11,34 +11,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tunemill.functions.integers import whole_div
+from tunemill.functions.tokens import MAX_LENGTH, attention_mask
+
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], added: str) -> DataFrame:
-    """Merges what `fn` returns for each row into the row; `added` declares its columns."""
+    """Merges what `fn` returns for each row into the row; `added` declares its columns.
+
+    `fn` sees Python values, NULL as None. Columns that are not in `added` pass by as they are.
+    """
     new = StructType.fromDDL(added)
     names = new.fieldNames()
     kept = [field for field in df.schema.fields if field.name not in names]
     schema = StructType(kept + new.fields)
-    columns = schema.fieldNames()
+    given = df.columns
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        kinds = to_arrow_schema(new)
         for batch in batches:
-            rows = [{**row, **fn(row)} for row in batch.to_dict("records")]
-            yield pd.DataFrame(rows, columns=columns)
+            values = [column.to_pylist() for column in batch.columns]
+            found = [fn(dict(zip(given, row))) for row in zip(*values)]
+            columns = [batch.column(given.index(field.name)) for field in kept]
+            columns += [pa.array([one.get(name) for one in found], kinds.field(name).type) for name in names]
+            yield pa.record_batch(columns, [*(field.name for field in kept), *names])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def tokenize_with(
     df: DataFrame,
     load: Callable[[], Callable[[list[str]], list[list[int]]]],
     text: str = "text",
-    max_length: int | None = None,
+    max_length: int | None = MAX_LENGTH,
 ) -> DataFrame:
-    """Adds `input_ids` by a tokenizer that `load` returns, loaded once per task.
+    """Adds `input_ids`, `attention_mask` and `n_tokens` by a tokenizer that `load` returns.
 
-    The tokenizer takes a list of texts and returns a list of id lists.
+    The tokenizer is loaded once per task; it takes a list of texts and returns a list of id lists, of
+    which `max_length` ids are kept. A NULL text is an empty one.
     """
 
     def encode(batches):
@@ -47,10 +59,15 @@ def tokenize_with(
         tokenizer = load()
         for texts in batches:
             ids = tokenizer(texts.tolist())
-            yield pd.Series([row[:max_length] for row in ids], index=texts.index)
+            yield pd.Series([list(row[:max_length]) for row in ids], index=texts.index)
 
     encode.__annotations__ = _series_iterator()
-    return df.withColumn("input_ids", F.pandas_udf(encode, "array<int>")(F.col(text)))
+    ids = F.pandas_udf(encode, "array<int>")(F.coalesce(F.col(text), F.lit("")))
+    return (
+        df.withColumn("input_ids", ids)
+        .withColumn("attention_mask", attention_mask(F.col("input_ids")))
+        .withColumn("n_tokens", F.size("input_ids"))
+    )
 
 
 def _series_iterator() -> dict:
@@ -86,24 +103,15 @@ def collate_batches(df: DataFrame, fn: Callable, schema: str, batch: str = "batc
     return df.repartition(batch).sortWithinPartitions(batch, "slot").mapInPandas(run, schema)
 
 
-def run_on_ranks(
-    batches: DataFrame,
-    fn: Callable[[Iterator], Iterator],
-    world_size: int,
-    schema: str,
-    barrier: bool = True,
-) -> DataFrame:
-    """`fn` once per rank, on that rank's rows, all ranks at the same time.
+def map_step_ranges(df: DataFrame, fn: Callable, schema: str, steps: int = 4096) -> DataFrame:
+    """`fn` on the rows of each rank and stretch of `steps` steps, as one pandas frame in step order.
 
-    `fn` gets an iterator of pandas frames, in step order, and yields pandas frames. Ranks
-    that start together need as many free slots. Without `barrier` they may start one after
-    another, for functions that do not wait for each other.
+    A stretch is a bounded number of batches, so ranks are worked on in as many tasks as they have
+    stretches. What belongs to a whole rank is put together afterwards by an aggregation.
     """
-    slots = batches.sparkSession.sparkContext.defaultParallelism
-    if barrier and slots < world_size:
-        raise ValueError(f"{world_size} ranks cannot start together on {slots} slots")
-    return (
-        batches.repartitionById(world_size, F.col("rank").cast("int"))
-        .sortWithinPartitions("step", "slot")
-        .mapInPandas(fn, schema, barrier=barrier)
-    )
+
+    def run(frame):
+        return fn(frame.sort_values(["step", "slot"]).reset_index(drop=True))
+
+    stretch = whole_div(F.col("step"), steps)
+    return df.groupBy("rank", stretch.alias("_stretch")).applyInPandas(run, schema)

@@ -6,58 +6,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill.functions.integers import whole_div
-from tunemill.operators.joins import hot_keys, left_join_spread
+from tunemill.operators import tracking
 from tunemill.operators.positions import with_id_position
-from tunemill.operators.tracking import ENGINE, TRAINER
+from tunemill.sources.configs import TRAINER_VALUES, config_literal
 from tunemill.sources.instructions import conform_instructions
-from tunemill.sources.tables import read_spread
+from tunemill.sources.sinks import explode_params
 
 STEPS_PER_EPOCH = 20
 RUN_NAME = "tuning_run"
 MODEL_HOME = "/models"
 
-# What each side sets, by the keys that have to agree.
-TRAINER_VALUES = {
-    "per_device_train_batch_size": "4",
-    "gradient_accumulation_steps": "1",
-    "max_grad_norm": "0.3",
-    "bf16": "True",
-    "optim": "paged_adamw_32bit",
-    "learning_rate": "0.0002",
-    "warmup_steps": "100",
-    "lr_scheduler_type": "constant",
-    "betas": "[0.9, 0.95]",
-}
-ENGINE_VALUES = {
-    "train_micro_batch_size_per_gpu": "4",
-    "gradient_accumulation_steps": "1",
-    "gradient_clipping": "0.3",
-    "bf16.enabled": "true",
-    "optimizer.type": "AdamW",
-    "optimizer.params.lr": "2e-4",
-    "scheduler.params.warmup_max_lr": "2e-4",
-    "scheduler.params.warmup_num_steps": "100",
-    "scheduler.type": "WarmupLR",
-    "optimizer.params.betas": "[0.9, 0.999]",
-}
+# A key pair that only the trainer's side of some runs agrees on, written with blanks.
+BETAS = "[0.9, 0.999]"
+OTHER_BETAS = "[0.9, 0.95]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_spread(spark, f"{sf_dir}/{name}.parquet")
-
-
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn with the assistant turn right after it; the system turn is the context.
 
     (conv_id, turn) is unique, so the follower is found by an equality join, which spreads a
     long conversation over all tasks. In the second join all turns of a conversation meet its
-    system turn, so there the long conversations are spread on purpose.
+    system turn; a conversation that holds much of the table is split by Spark at run time.
     """
-    turns = text_table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("instruction")
     )
@@ -69,13 +44,8 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turn = F.col("turn")
     rows = (
-        left_join_spread(
-            asked.join(answered, ["conv_id", "turn"]),
-            system,
-            "conv_id",
-            turn,
-            hot_keys(asked, "conv_id"),
-        )
+        asked.join(answered, ["conv_id", "turn"])
+        .join(system, "conv_id", "left")
         .select(
             turn_id().alias("id"),
             "instruction",
@@ -112,7 +82,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per user, every fourth a parent, with layout, stage and name."""
+    """One run per user, every fourth a parent; rank, layout and stage follow the id independently."""
     run = F.col("run_id")
     stages = F.array(*[F.lit(s) for s in ("stage_1", "stage_2", "stage_3", "stage_3_offload")])
     return (
@@ -124,34 +94,48 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(run % 4 != 0, run - run % 4).alias("parent_run_id"),
             (run % 4).cast("int").alias("rank"),
             (run % 8 + 1).cast("int").alias("gpus"),
-            (run % 4 + 1).cast("int").alias("nodes"),
-            F.element_at(stages, (run % 4 + 1).cast("int")).alias("stage"),
+            (run % 3 + 1).cast("int").alias("nodes"),
+            F.element_at(stages, (whole_div(run, 4) % 4 + 1).cast("int")).alias("stage"),
             F.lit(RUN_NAME).alias("run_name"),
         )
     )
 
 
 def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sides' parameters of every run; some runs change the trainer's learning rate."""
-    sides = [
-        F.struct(F.lit(source).alias("source"), F.lit(key).alias("key"), F.lit(value).alias("value"))
-        for source, values in ((TRAINER, TRAINER_VALUES), (ENGINE, ENGINE_VALUES))
-        for key, value in values.items()
-    ]
+    """Both sides' parameters of every run.
+
+    Some runs change the trainer's learning rate or its betas, some log a batch size twice.
+    """
+    chosen = tracking.select_variant(runs(spark, sf_dir))
     run = F.col("run_id")
-    changed = (F.col("source") == TRAINER) & (F.col("key") == "learning_rate")
+    trainer = explode_params(chosen, config_literal(TRAINER_VALUES), tracking.TRAINER)
+    betas = chosen.select(
+        "run_id",
+        F.lit(tracking.TRAINER).alias("source"),
+        F.lit("betas").alias("key"),
+        F.when(run % 3 == 0, OTHER_BETAS).otherwise(BETAS).alias("value"),
+    )
+    again = trainer.where((run % 11 == 0) & (F.col("key") == "per_device_train_batch_size")).withColumn("value", F.lit("8"))
+    rate = (F.col("source") == tracking.TRAINER) & (F.col("key") == "learning_rate")
+    value = F.when(rate & (run % 7 == 0), "auto").when(rate & (run % 5 == 0), "0.001").otherwise(F.col("value"))
     return (
-        runs(spark, sf_dir)
-        .select("run_id", F.inline(F.array(*sides)))
-        .withColumn(
-            "value",
-            F.when(changed & (run % 7 == 0), "auto")
-            .when(changed & (run % 5 == 0), "0.001")
-            .otherwise(F.col("value")),
-        )
+        trainer.union(betas).union(again).withColumn("value", value)
+        .union(tracking.engine_params(chosen, F.col("config")))
     )
 
 
+def launches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fourth run as a launch of its own."""
+    return runs(spark, sf_dir).where("rank = 1").withColumnRenamed("run_id", "launch_id")
+
+
+def models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lib, repo): each repository under a name of its own, every second one under another as well."""
+    repo = F.col("repo")
+    names = F.array(F.concat(F.lit("lib-"), repo), F.when(F.length(repo) % 2 == 0, F.concat(F.lit("also-"), repo)))
+    return repo_files(spark, sf_dir).select("repo").distinct().select(F.explode(names).alias("lib"), "repo").where("lib IS NOT NULL")
+
+
 def repo_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page addresses as files: the host is the repository, the rest the file name."""
     url = F.col("url")

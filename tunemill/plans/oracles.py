@@ -19,6 +19,7 @@ _PARTS = {
         LEFT JOIN (SELECT conv_id, text FROM conversations WHERE role = 'system') s
           ON p.conv_id = s.conv_id
         WHERE p.role = 'user' AND p.next_role = 'assistant' AND p.next_turn = p.turn + 1""",
+    # The words and the layout of the prompt.
     "prompts": """
         SELECT *, CASE WHEN context <> '' THEN
             'Below is an instruction that describes a task. Write a response that appropriately completes the request.'
@@ -96,22 +97,22 @@ _PARTS = {
         SELECT DISTINCT user_id AS run_id,
                CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id - user_id % 4 END AS parent_run_id,
                CAST(user_id % 4 AS INT) AS rank,
-               CAST(user_id % 8 + 1 AS INT) AS gpus, CAST(user_id % 4 + 1 AS INT) AS nodes,
-               ['stage_1', 'stage_2', 'stage_3', 'stage_3_offload'][user_id % 4 + 1] AS stage,
+               CAST(user_id % 8 + 1 AS INT) AS gpus, CAST(user_id % 3 + 1 AS INT) AS nodes,
+               ['stage_1', 'stage_2', 'stage_3', 'stage_3_offload'][user_id // 4 % 4 + 1] AS stage,
                'tuning_run' AS run_name
         FROM events""",
+    # The engine's configuration as it is shown.
     "base_values": """
         SELECT * FROM (VALUES
-          ('train_batch_size', 'auto'),
           ('train_micro_batch_size_per_gpu', '4'),
           ('gradient_accumulation_steps', '1'),
           ('gradient_clipping', '0.3'),
           ('bf16', '{"enabled":"true"}'),
           ('optimizer', '{"params":{"betas":[0.9,0.999],"eps":1.0E-8,"lr":0.0002},"type":"AdamW"}'),
           ('scheduler', '{"params":{"warmup_max_lr":0.0002,"warmup_min_lr":0,"warmup_num_steps":100,"warmup_type":"linear"},"type":"WarmupLR"}'),
-          ('tensorboard', '{"enabled":true,"output_path":"/local_disk0/tensorboard"}'),
           ('steps_per_print', '10'),
           ('wall_clock_breakdown', 'true')) AS v(key, value)""",
+    # The memory sections as they are shown.
     "zero_values": """
         SELECT * FROM (VALUES
           ('stage_1', '{"allgather_bucket_size":500000000,"allgather_partitions":true,"contiguous_gradients":true,"cpu_offload":false,"overlap_comm":true,"reduce_bucket_size":500000000,"reduce_scatter":true,"stage":1}'),
@@ -123,31 +124,39 @@ _PARTS = {
         SELECT r.run_id, r.stage, r.rank, b.key, b.value FROM runs r CROSS JOIN base_values b
         UNION ALL
         SELECT r.run_id, r.stage, r.rank, 'zero_optimization', z.value
-        FROM runs r JOIN zero_values z ON r.stage = z.stage""",
+        FROM runs r JOIN zero_values z ON r.stage = z.stage
+        UNION ALL
+        SELECT run_id, stage, rank, 'train_batch_size', CAST(gpus * nodes * 4 AS VARCHAR) FROM runs""",
+    # The trainer's arguments as they are shown.
     "trainer_values": """
         SELECT * FROM (VALUES
           ('per_device_train_batch_size', '4'), ('gradient_accumulation_steps', '1'),
           ('optim', 'paged_adamw_32bit'), ('save_steps', '50'), ('logging_steps', '10'),
           ('learning_rate', '0.0002'), ('bf16', 'true'), ('max_grad_norm', '0.3'),
           ('num_train_epochs', '2'), ('warmup_steps', '100'), ('group_by_length', 'true'),
-          ('lr_scheduler_type', 'constant')) AS v(key, value)""",
+          ('lr_scheduler_type', 'constant'),
+          ('ddp_find_unused_parameters', 'false'), ('output_dir', '/models/results'),
+          ('run_name', 'tuning_run')) AS v(key, value)""",
+    # Both sides of the keys that have to agree, as they are shown.
     "key_pairs": """
         SELECT * FROM (VALUES
           ('per_device_train_batch_size', 'train_micro_batch_size_per_gpu', '4', '4'),
           ('gradient_accumulation_steps', 'gradient_accumulation_steps', '1', '1'),
           ('max_grad_norm', 'gradient_clipping', '0.3', '0.3'),
-          ('bf16', 'bf16.enabled', 'True', 'true'),
+          ('bf16', 'bf16.enabled', 'true', 'true'),
           ('optim', 'optimizer.type', 'paged_adamw_32bit', 'AdamW'),
-          ('learning_rate', 'optimizer.params.lr', '0.0002', '2e-4'),
-          ('learning_rate', 'scheduler.params.warmup_max_lr', '0.0002', '2e-4'),
+          ('learning_rate', 'optimizer.params.lr', '0.0002', '0.0002'),
+          ('learning_rate', 'scheduler.params.warmup_max_lr', '0.0002', '0.0002'),
           ('warmup_steps', 'scheduler.params.warmup_num_steps', '100', '100'),
           ('lr_scheduler_type', 'scheduler.type', 'constant', 'WarmupLR'),
-          ('betas', 'optimizer.params.betas', '[0.9, 0.95]', '[0.9, 0.999]')
+          ('betas', 'optimizer.params.betas', '[0.9, 0.999]', '[0.9,0.999]')
         ) AS v(trainer_key, engine_key, trainer_base, engine_value)""",
     "param_pairs": """
         SELECT run_id, trainer_key, engine_key,
                CASE WHEN trainer_key = 'learning_rate' AND run_id % 7 = 0 THEN 'auto'
                     WHEN trainer_key = 'learning_rate' AND run_id % 5 = 0 THEN '0.001'
+                    WHEN trainer_key = 'betas' AND run_id % 3 = 0 THEN '[0.9, 0.95]'
+                    WHEN trainer_key = 'per_device_train_batch_size' AND run_id % 11 = 0 THEN '4 | 8'
                     ELSE trainer_base END AS trainer_value,
                engine_value
         FROM runs CROSS JOIN key_pairs""",
@@ -156,7 +165,13 @@ _PARTS = {
                regexp_extract(url, '^https?://([^/]+)/(.*)$', 2) AS name,
                starts_with(url, 'https:') AS present
         FROM pages""",
-    "manifest": "SELECT repo, name, '/models/' || repo || '/' || name AS target_path, present FROM repo_files",
+    "models": """
+        SELECT 'lib-' || repo AS lib, repo FROM (SELECT DISTINCT repo FROM repo_files)
+        UNION ALL
+        SELECT 'also-' || repo, repo FROM (SELECT DISTINCT repo FROM repo_files) WHERE length(repo) % 2 = 0""",
+    "manifest": """
+        SELECT lib, f.repo, name, '/models/' || lib || '/' || name AS target_path, present
+        FROM repo_files f JOIN models m ON f.repo = m.repo""",
 }
 
 
@@ -210,15 +225,37 @@ def _text(column: str) -> str:
     return f"array_to_string({column}, ' ') AS {column}"
 
 
+_TRAIN_LOSS = """
+        SELECT step, (SUM(n * -ln((pair_seen + 1) / CAST(prev_seen + (SELECT count(DISTINCT t) FROM (SELECT unnest(input_ids) AS t FROM tokens)) AS DOUBLE))) / SUM(n)) AS train_loss,
+        CAST(SUM(n) AS BIGINT) AS scored_tokens
+        FROM (
+          SELECT c.step, c.n,
+                 coalesce(SUM(c.n) OVER (PARTITION BY c.prev, c.next ORDER BY c.step
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pair_seen,
+                 coalesce(p.prev_seen, 0) AS prev_seen
+          FROM (SELECT batch_id AS step, prev, next, COUNT(*) AS n FROM pairs GROUP BY ALL) c
+          JOIN (SELECT batch_id AS step, prev,
+                       SUM(COUNT(*)) OVER (PARTITION BY prev ORDER BY batch_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_seen
+                FROM pairs GROUP BY batch_id, prev) p
+            ON c.step = p.step AND c.prev = p.prev)
+        GROUP BY step"""
+
 ORACLES: dict[str, str] = {
-    "load_instructions": _sql("SELECT * FROM instructions", _INSTRUCTIONS),
+    "load_instructions": _sql("SELECT * FROM instructions WHERE split = 'train'", _INSTRUCTIONS),
     "cached_table": _sql("SELECT * FROM instructions", _INSTRUCTIONS),
-    "split_filter": _sql("SELECT * FROM instructions WHERE split = 'train'", _INSTRUCTIONS),
-    "file_manifest": _sql("SELECT repo, name, target_path FROM manifest", "repo_files manifest"),
+    "split_filter": _sql("SELECT * FROM instructions WHERE split = 'test'", _INSTRUCTIONS),
+    "load_config": _sql(
+        """SELECT run_id, key, value FROM runs CROSS JOIN base_values
+        UNION ALL SELECT run_id, 'train_batch_size', 'auto' FROM runs
+        UNION ALL SELECT run_id, 'zero_optimization', '{}' FROM runs""",
+        "runs base_values",
+    ),
+    "file_manifest": _sql("SELECT lib, repo, name, target_path FROM manifest", "repo_files models manifest"),
     "pending_files": _sql(
-        """SELECT DISTINCT repo, name, target_path FROM manifest
+        """SELECT DISTINCT lib, repo, name, target_path FROM manifest
         WHERE target_path NOT IN (SELECT target_path FROM manifest WHERE present)""",
-        "repo_files manifest",
+        "repo_files models manifest",
     ),
     "write_batches": _sql(
         f"SELECT rank, step, slot, id, {_text('input_ids')}, {_text('labels')} FROM trainer", _TRAINER
@@ -230,6 +267,9 @@ ORACLES: dict[str, str] = {
         """SELECT run_id, 'hf' AS source, key, value
         FROM runs CROSS JOIN trainer_values WHERE rank = 0
         UNION ALL
+        SELECT run_id, 'hf', 'deepspeed', '{' || string_agg('"' || key || '":' || value, ',' ORDER BY key) || '}'
+        FROM run_configs WHERE rank = 0 GROUP BY run_id
+        UNION ALL
         SELECT run_id, 'ds_' AS source, 'ds_' || key AS key, value FROM run_configs WHERE rank = 0""",
         f"{_RUN_CONFIGS} trainer_values",
     ),
@@ -240,6 +280,11 @@ ORACLES: dict[str, str] = {
         "doc_texts tokens",
         "doc_texts",
     ),
+    "tokenize_joined": _sql(
+        "SELECT id, CAST(len(all_ids) AS INT) AS n_tokens, array_to_string(all_ids, ' ') AS input_ids FROM all_tokens",
+        "doc_texts tokens",
+        "doc_texts",
+    ),
     "truncate_tokens": _sql(
         f"SELECT id, n_tokens, {_text('input_ids')} FROM tokens", "doc_texts tokens", "doc_texts"
     ),
@@ -314,20 +359,12 @@ ORACLES: dict[str, str] = {
         f"{_MANUAL} pairs",
     ),
     "bigram_train_loss": _sql(
-        """SELECT step, round(SUM(n * -ln((pair_seen + 1) / CAST(prev_seen + 8000 AS DOUBLE))) / SUM(n), 6) AS train_loss,
-        CAST(SUM(n) AS BIGINT) AS scored_tokens
-        FROM (
-          SELECT c.step, c.n,
-                 coalesce(SUM(c.n) OVER (PARTITION BY c.prev, c.next ORDER BY c.step
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pair_seen,
-                 coalesce(p.prev_seen, 0) AS prev_seen
-          FROM (SELECT batch_id AS step, prev, next, COUNT(*) AS n FROM pairs GROUP BY ALL) c
-          JOIN (SELECT batch_id AS step, prev,
-                       SUM(COUNT(*)) OVER (PARTITION BY prev ORDER BY batch_id
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_seen
-                FROM pairs GROUP BY batch_id, prev) p
-            ON c.step = p.step AND c.prev = p.prev)
-        GROUP BY step""",
+        f"SELECT step, round(train_loss, 6) AS train_loss, scored_tokens FROM ({_TRAIN_LOSS})", f"{_MANUAL} pairs"
+    ),
+    "logged_train_loss": _sql(
+        f"""SELECT CAST(1 AS BIGINT) AS run_id, (step // 10 + 1) * 10 AS log_step, round(AVG(train_loss), 6) AS loss,
+        COUNT(*) AS steps
+        FROM ({_TRAIN_LOSS}) GROUP BY step // 10""",
         f"{_MANUAL} pairs",
     ),
     "lr_schedule": _sql(
@@ -349,12 +386,12 @@ ORACLES: dict[str, str] = {
     "logged_loss": _sql(
         """SELECT run_id, ((global_step - 1) // 10 + 1) * 10 AS log_step, round(AVG(value), 6) AS loss,
         COUNT(*) AS steps
-        FROM metrics GROUP BY run_id, (global_step - 1) // 10""",
+        FROM metrics WHERE key = 'purchase' GROUP BY run_id, (global_step - 1) // 10""",
         "metrics",
     ),
     "checkpoint_steps": _sql(
         """SELECT DISTINCT run_id, global_step,
-        '/local_disk0/results/checkpoint-' || CAST(global_step AS VARCHAR) AS checkpoint
+        '/models/results/checkpoint-' || CAST(global_step AS VARCHAR) AS checkpoint
         FROM metrics WHERE global_step % 50 = 0""",
         "metrics",
     ),
@@ -387,14 +424,21 @@ ORACLES: dict[str, str] = {
         "SELECT run_id, gpus * nodes AS num_processes, nodes = 1 AS local FROM runs", "runs"
     ),
     "global_batch_size": _sql(
-        "SELECT run_id, gpus * nodes * 4 * 2 AS global_batch_size FROM runs", "runs"
+        "SELECT run_id, gpus * nodes * 4 AS global_batch_size, gpus * nodes * 4 AS in_config FROM runs", "runs"
     ),
     "parent_only_multinode": _sql(
         "SELECT run_id, CASE WHEN nodes > 1 THEN parent_run_id END AS parent_run_id FROM runs", "runs"
     ),
+    "expand_runs": _sql(
+        """SELECT run_id AS launch_id, CAST(r AS INT) AS rank,
+        CASE WHEN r = 0 THEN run_name ELSE run_name || '_rank_' || CAST(r AS VARCHAR) END AS run_name,
+        CASE WHEN nodes > 1 THEN parent_run_id END AS parent_run_id
+        FROM runs, range(0, gpus * nodes) AS ranks(r) WHERE rank = 1""",
+        "runs",
+    ),
     "run_tree": _sql(
-        """SELECT c.run_id, c.rank, c.parent_run_id, p.run_name AS parent_name, p.rank AS parent_rank
-        FROM runs c LEFT JOIN runs p ON c.parent_run_id = p.run_id""",
+        """SELECT c.run_id, c.rank, CASE WHEN c.nodes > 1 THEN c.parent_run_id END AS parent_run_id, p.run_name AS parent_name, p.rank AS parent_rank
+        FROM runs c LEFT JOIN runs p ON c.nodes > 1 AND c.parent_run_id = p.run_id""",
         "runs",
     ),
     "rank0_metrics": _sql(
@@ -405,12 +449,15 @@ ORACLES: dict[str, str] = {
         WHERE trainer_value <> 'auto' AND engine_value <> 'auto'
           AND CASE WHEN TRY_CAST(trainer_value AS DOUBLE) IS NOT NULL AND TRY_CAST(engine_value AS DOUBLE) IS NOT NULL
                    THEN TRY_CAST(trainer_value AS DOUBLE) <> TRY_CAST(engine_value AS DOUBLE)
-                   ELSE lower(trainer_value) <> lower(engine_value) END""",
+                   ELSE replace(lower(trainer_value), ' ', '') <> replace(lower(engine_value), ' ', '') END""",
         "runs key_pairs param_pairs",
     ),
-    "map_rows": _sql("SELECT id, text FROM prompts", f"{_INSTRUCTIONS} prompts"),
+    "map_rows": _sql("SELECT id, context, nfc_normalize(response) AS composed FROM instructions", _INSTRUCTIONS),
     "pluggable_tokenizer": _sql(
-        "SELECT id, hex(encode(text)) AS bytes FROM prompts", f"{_INSTRUCTIONS} prompts"
+        """SELECT id, substr(hex(encode(text)), 1, 1024) AS bytes,
+        CAST(least(octet_length(encode(text)), 512) AS INT) AS n_tokens, CAST(least(octet_length(encode(text)), 512) AS INT) AS n_mask
+        FROM prompts""",
+        f"{_INSTRUCTIONS} prompts",
     ),
     "collate_batches": _sql(
         f"SELECT batch_id, slot, id, {_text('input_ids')}, {_text('labels')} FROM labelled", _MANUAL

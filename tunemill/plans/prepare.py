@@ -54,7 +54,9 @@ def trainer_batches(
 ) -> DataFrame:
     """Length-grouped batches dealt out to ranks, padded and labelled: what a trainer reads."""
     grouped = length_grouped_batches(tokens.select("id", "n_tokens"), batch_size, seed)
-    dealt = shard_batches(grouped, world_size, batch_size)
+    # The number of rows comes from the stored table, not from the placement of all of them.
+    rows = tokens.agg(F.count(F.lit(1))).scalar()
+    dealt = shard_batches(grouped, world_size, batch_size, rows)
     return collate(attach_tokens(batch_max_length(dealt), tokens))
 
 

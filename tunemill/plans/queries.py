@@ -5,6 +5,7 @@ Array results are shown as text, values joined by blanks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tunemill.functions import configs as cf
 from tunemill.functions import schedules
 from tunemill.functions.labels import IGNORED_LABEL
+from tunemill.functions.labels import causal_labels as causal
 from tunemill.functions.tokens import EOS_ID
 from tunemill.operators import batching, columns, tokenization, tracking, training, user_functions
 from tunemill.operators import prompts as prompting
@@ -27,6 +29,7 @@ VOCAB_SIZE = 8000
 WORLD_SIZE = 4
 SEED = 7
 ACCUMULATION = 2
+OUTPUT_DIR = "/models/results"
 
 QUERIES: dict[str, Query] = {}
 
@@ -59,13 +62,15 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.text_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-def document_tokens(spark: SparkSession, sf_dir: str, max_length: int | None) -> DataFrame:
+def document_tokens(
+    spark: SparkSession, sf_dir: str, max_length: int | None, joined: bool = False
+) -> DataFrame:
     texts = document_texts(spark, sf_dir)
     vocabulary = tokenization.build_vocab(texts, VOCAB_SIZE)
-    return tokenization.tokenize(texts, vocabulary, max_length=max_length)
+    return tokenization.tokenize(texts, vocabulary, max_length=max_length, joined=joined)
 
 
 def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +79,15 @@ def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.select_variant(fx.runs(spark, sf_dir))
+    """Runs with their configurations, batch sizes resolved."""
+    return tracking.resolve_batch_size(tracking.select_variant(fx.runs(spark, sf_dir)))
+
+
+def instructions_by_split(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the instructions, a directory for each split."""
+    path = scratch_path(spark, "instructions")
+    fx.instructions(spark, sf_dir).write.partitionBy("split").parquet(path)
+    return path
 
 
 # Sources and sinks
@@ -82,7 +95,7 @@ def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_instructions(spark, sf_dir):
-    return instructions.conform_instructions(fx.instructions(spark, sf_dir))
+    return instructions.load_instructions(spark, instructions_by_split(spark, sf_dir), split="train")
 
 
 @query
@@ -98,19 +111,30 @@ def cached_table(spark, sf_dir):
 
 @query
 def split_filter(spark, sf_dir):
-    return instructions.split_filter(fx.instructions(spark, sf_dir), "train")
+    rows = instructions.load_instructions(spark, instructions_by_split(spark, sf_dir))
+    return instructions.split_filter(rows, "test")
+
+
+@query
+def load_config(spark, sf_dir):
+    path = scratch_path(spark, "engine")
+    text = spark.range(1).select(F.lit(json.dumps(configs.engine_config())).alias("value"))
+    text.coalesce(1).write.text(path)
+    loaded = configs.load_config(spark, path).scalar()
+    return sinks.explode_params(fx.runs(spark, sf_dir).withColumn("config", loaded), F.col("config"), "").drop("source")
 
 
 @query
 def file_manifest(spark, sf_dir):
-    return files.file_manifest(fx.repo_files(spark, sf_dir), fx.MODEL_HOME)
+    return files.file_manifest(fx.models(spark, sf_dir), fx.repo_files(spark, sf_dir), fx.MODEL_HOME)
 
 
 @query
 def pending_files(spark, sf_dir):
     listed = fx.repo_files(spark, sf_dir)
-    present = files.file_manifest(listed.where("present"), fx.MODEL_HOME)
-    return files.pending_files(files.file_manifest(listed, fx.MODEL_HOME), present)
+    models = fx.models(spark, sf_dir)
+    present = files.file_manifest(models, listed.where("present"), fx.MODEL_HOME)
+    return files.pending_files(files.file_manifest(models, listed, fx.MODEL_HOME), present)
 
 
 @query
@@ -128,19 +152,21 @@ def write_batches(spark, sf_dir):
 @query
 def metrics_sink(spark, sf_dir):
     path = scratch_path(spark, "metrics")
-    sinks.append_metrics(fx.metrics(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    logged = fx.metrics(spark, sf_dir)
+    # The second write holds all rows of the first one, and adds what that left out.
+    sinks.append_metrics(logged.where("global_step <= 5"), path)
+    sinks.append_metrics(logged, path)
+    return spark.read.parquet(path).select(*sinks.METRIC_COLUMNS)
 
 
 @query
 def params_sink(spark, sf_dir):
     path = scratch_path(spark, "run_params")
     logging = run_configs(spark, sf_dir).where(F.col("rank") == 0)
-    arguments = configs.config_literal(configs.trainer_arguments())
-    sinks.append_params(sinks.explode_params(logging, arguments, tracking.TRAINER), path)
-    engine = cf.prefix_keys(F.col("config"), tracking.ENGINE)
-    sinks.append_params(sinks.explode_params(logging, engine, tracking.ENGINE), path)
-    return spark.read.parquet(path)
+    params = tracking.logged_params(logging, OUTPUT_DIR)
+    sinks.append_params(params.where(F.col("source") == tracking.TRAINER), path)
+    sinks.append_params(params, path)
+    return spark.read.parquet(path).select(*sinks.PARAM_COLUMNS)
 
 
 # Prompts and tokens
@@ -163,6 +189,13 @@ def tokenize(spark, sf_dir):
     )
 
 
+@query
+def tokenize_joined(spark, sf_dir):
+    return document_tokens(spark, sf_dir, None, joined=True).select(
+        "id", "n_tokens", shown("input_ids").alias("input_ids")
+    )
+
+
 @query
 def truncate_tokens(spark, sf_dir):
     return document_tokens(spark, sf_dir, 512).select(
@@ -292,12 +325,26 @@ def token_loss_mask(spark, sf_dir):
     )
 
 
+def train_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored_tokens(spark, sf_dir)
+    batch_of = batching.sequential_batches(rows.select("id")).select("id", "batch_id")
+    ids = batch_of.join(rows.select("id", "input_ids"), "id")
+    labelled = ids.withColumn("labels", causal(F.col("input_ids"), EOS_ID))
+    vocabulary = rows.select(F.explode("input_ids").alias("token")).agg(F.count_distinct("token")).scalar()
+    return training.bigram_train_loss(labelled, vocabulary, step="batch_id")
+
+
 @query
 def bigram_train_loss(spark, sf_dir):
-    batches = prepare.manual_batches(stored_tokens(spark, sf_dir))
-    batches = prepare.stored(batches.select("batch_id", "input_ids", "labels"), "batches")
-    losses = training.bigram_train_loss(batches, VOCAB_SIZE, step="batch_id")
-    return losses.withColumn("train_loss", F.round("train_loss", 6))
+    return train_losses(spark, sf_dir).withColumn("train_loss", F.round("train_loss", 6))
+
+
+@query
+def logged_train_loss(spark, sf_dir):
+    path = scratch_path(spark, "metrics")
+    sinks.append_metrics(training.loss_record(train_losses(spark, sf_dir), run_id=1), path)
+    losses = training.logged_loss(spark.read.parquet(path))
+    return losses.withColumn("loss", F.round("loss", 6))
 
 
 @query
@@ -320,13 +367,13 @@ def step_plan(spark, sf_dir):
 
 @query
 def logged_loss(spark, sf_dir):
-    losses = training.logged_loss(fx.metrics(spark, sf_dir))
+    losses = training.logged_loss(fx.metrics(spark, sf_dir), key="purchase")
     return losses.withColumn("loss", F.round("loss", 6))
 
 
 @query
 def checkpoint_steps(spark, sf_dir):
-    return training.checkpoint_steps(fx.metrics(spark, sf_dir))
+    return training.checkpoint_steps(fx.metrics(spark, sf_dir), OUTPUT_DIR)
 
 
 # Configurations and runs
@@ -384,8 +431,10 @@ def layout(spark, sf_dir):
 
 @query
 def global_batch_size(spark, sf_dir):
-    size = cf.global_batch_size(batching.BATCH_SIZE, ACCUMULATION, F.col("num_processes"))
-    return layout(spark, sf_dir).select("run_id", size.alias("global_batch_size"))
+    in_config = cf.config_leaf(F.col("config"), "train_batch_size", "$", "int")
+    return run_configs(spark, sf_dir).select(
+        "run_id", F.col("global_batch_size").cast("int").alias("global_batch_size"), in_config.alias("in_config")
+    )
 
 
 @query
@@ -394,6 +443,11 @@ def parent_only_multinode(spark, sf_dir):
     return fx.runs(spark, sf_dir).select("run_id", parent.alias("parent_run_id"))
 
 
+@query
+def expand_runs(spark, sf_dir):
+    return tracking.expand_runs(fx.launches(spark, sf_dir))
+
+
 @query
 def run_tree(spark, sf_dir):
     return tracking.run_tree(fx.runs(spark, sf_dir)).select(
@@ -418,22 +472,14 @@ def config_conflicts(spark, sf_dir):
 
 @query
 def map_rows(spark, sf_dir):
-    def format_prompt(row):
-        lines = [
-            "Below is an instruction that describes a task. "
-            "Write a response that appropriately completes the request.",
-            "",
-            "### Instruction:",
-            str(row["instruction"]),
-            "",
-        ]
-        if row["context"]:
-            lines += ["Input:", row["context"], ""]
-        lines += ["### Response:", str(row["response"]), "", "### End"]
-        return {"text": "\n    ".join(lines)}
+    def compose(row):
+        import unicodedata
 
-    rows = user_functions.map_rows(fx.instructions(spark, sf_dir), format_prompt, "text string")
-    return rows.select("id", "text")
+        text = row["response"]
+        return {"composed": None if text is None else unicodedata.normalize("NFC", text)}
+
+    rows = user_functions.map_rows(fx.instructions(spark, sf_dir), compose, "composed string")
+    return rows.select("id", "context", "composed")
 
 
 @query
@@ -443,7 +489,7 @@ def pluggable_tokenizer(spark, sf_dir):
 
     encoded = user_functions.tokenize_with(prompts(spark, sf_dir), load)
     return encoded.select(
-        "id", F.array_join(F.transform("input_ids", lambda b: F.lpad(F.hex(b), 2, "0")), "").alias("bytes")
+        "id", "n_tokens", F.size("attention_mask").alias("n_mask"), F.array_join(F.transform("input_ids", lambda b: F.lpad(F.hex(b), 2, "0")), "").alias("bytes")
     )
 
 
@@ -472,24 +518,23 @@ def collate_batches(spark, sf_dir):
 
 @query
 def run_on_ranks(spark, sf_dir):
-    def count_rows(frames):
+    def count_rows(frame):
         import pandas as pd
 
-        rank, rows, steps, total = -1, 0, 0, 0
-        for frame in frames:
-            if len(frame):
-                rank = int(frame["rank"].iloc[0])
-                rows += len(frame)
-                steps = max(steps, int(frame["step"].max()) + 1)
-                total += int(frame["n_tokens"].sum())
-        if rows:
-            yield pd.DataFrame({"rank": [rank], "rows": [rows], "steps": [steps], "tokens": [total]})
-
-    world_size = 2
+        return pd.DataFrame(
+            {
+                "rank": [int(frame["rank"].iloc[0])],
+                "rows": [len(frame)],
+                "last_step": [int(frame["step"].iloc[-1])],
+                "tokens": [int(frame["n_tokens"].sum())],
+            }
+        )
+
     assigned = batching.sequential_batches(lengths(spark, sf_dir))
-    shards = batching.shard_batches(assigned, world_size).select("rank", "step", "slot", "n_tokens")
-    # Ranks that start together are not to be had where executors come and go.
-    barrier = spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true"
-    return user_functions.run_on_ranks(
-        shards, count_rows, world_size, "rank int, rows bigint, steps bigint, tokens bigint", barrier
+    shards = batching.shard_batches(assigned, 2).select("rank", "step", "slot", "n_tokens")
+    parts = user_functions.map_step_ranges(
+        shards, count_rows, "rank int, rows bigint, last_step bigint, tokens bigint", steps=64
+    )
+    return parts.groupBy("rank").agg(
+        F.sum("rows").alias("rows"), (F.max("last_step") + 1).alias("steps"), F.sum("tokens").alias("tokens")
     )

@@ -10,9 +10,15 @@ def target_path(home: str, repo: Column, name: Column) -> Column:
     return F.concat_ws("/", F.lit(home.rstrip("/")), repo, name)
 
 
-def file_manifest(files: DataFrame, home: str) -> DataFrame:
-    """(repo, name) rows with the `target_path` each file is to have under `home`."""
-    return files.select("repo", "name", target_path(home, F.col("repo"), F.col("name")).alias("target_path"))
+def file_manifest(models: DataFrame, files: DataFrame, home: str) -> DataFrame:
+    """(lib, repo, name, target_path): the files of each model's repository under the model's own folder.
+
+    `models` is (lib, repo): the name a model goes by here, and where it comes from; `files` is
+    (repo, name). A repository may be in use under several names.
+    """
+    return models.select("lib", "repo").join(files.select("repo", "name"), "repo").select(
+        "lib", "repo", "name", target_path(home, F.col("lib"), F.col("name")).alias("target_path")
+    )
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:

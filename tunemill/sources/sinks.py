@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill.functions.integers import whole_div
+from tunemill.sources.tables import file_system_path
 
 METRIC_COLUMNS = ["run_id", "rank", "epoch", "step", "global_step", "key", "value"]
+METRIC_KEY = ["run_id", "rank", "epoch", "global_step", "key"]
 PARAM_COLUMNS = ["run_id", "source", "key", "value"]
+PARAM_KEY = ["run_id", "source", "key"]
 
 
 def write_batches(
     batches: DataFrame, path: str, steps_per_file: int = 4096, mode: str = "errorifexists"
 ) -> None:
-    """Writes batches so that each rank finds its own files, in step order inside a file."""
+    """Writes batches so that each rank finds its own files, in step order inside a file.
+
+    With a column `epoch` a file holds steps of one epoch.
+    """
     span = whole_div(F.col("step"), steps_per_file)
+    epoch = ["epoch"] if "epoch" in batches.columns else []
     (
         batches.withColumn("_span", span)
-        .repartition("rank", "_span")
-        .sortWithinPartitions("rank", "step", "slot")
+        .repartition("rank", *epoch, "_span")
+        .sortWithinPartitions("rank", *epoch, "step", "slot")
         .drop("_span")
         .write.mode(mode)
         .partitionBy("rank")
@@ -34,11 +44,26 @@ def read_batches(spark: SparkSession, path: str, rank: int | None = None) -> Dat
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.select(*METRIC_COLUMNS).write.mode("append").parquet(path)
+    """Appends what the table at `path` doesn't hold yet, so writing rows again adds nothing.
+
+    A row is named by run, rank, step and key. Files are kept by rank.
+    """
+    _append(metrics.select(*METRIC_COLUMNS), path, METRIC_KEY, ["rank"])
 
 
 def append_params(params: DataFrame, path: str) -> None:
-    params.select(*PARAM_COLUMNS).write.mode("append").parquet(path)
+    """Like `append_metrics`; a parameter is named by run, source and key."""
+    _append(params.select(*PARAM_COLUMNS), path, PARAM_KEY, ["source"])
+
+
+def _append(rows: DataFrame, path: str, key: list[str], by: list[str]) -> None:
+    files, target = file_system_path(rows.sparkSession, path)
+    rows = rows.dropDuplicates(key)
+    if files.exists(target):
+        held = rows.sparkSession.read.schema(rows.schema).parquet(path)
+        same = reduce(and_, [rows[c].eqNullSafe(held[c]) for c in key])
+        rows = rows.join(held, same, "left_anti")
+    rows.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def explode_params(runs: DataFrame, config: Column, source: str) -> DataFrame:
