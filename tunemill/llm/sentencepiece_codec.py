@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import eq
 from struct import unpack
 from typing import NamedTuple
 
@@ -29,9 +30,8 @@ from pyspark.sql import DataFrame
 from tunemill.llm.common import per_row
 
 MARKER = "▁"
-THREADS = 2
-#: Words whose tokens a worker keeps.
-CACHE = 400_000
+#: Words whose tokens a worker keeps in each of two generations.
+CACHE = 300_000
 #: Bytes of text in one call of the library.
 CALL_BYTES = 1_000_000
 DECODED_AT_A_TIME = 256
@@ -140,7 +140,8 @@ def build_tokenizer(model: Model):
     if model.dummy_prefix:
         steps.append(normalizers.Prepend(MARKER))
     tokenizer.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARKER)])
-    back = [decoders.Replace(MARKER, " "), decoders.ByteFallback(), decoders.Fuse()]
+    # Markers are put back in the whole text at once, not token by token.
+    back = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARKER, " ")]
     tokenizer.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * model.dummy_prefix)
     defined = [AddedToken(text, normalized=False) for text, _, kind in model.pieces if kind == USER_DEFINED]
     if defined:
@@ -166,7 +167,9 @@ class Coder:
         self.prefix = MARKER if model.dummy_prefix else ""
         # The words come normalised.
         self.words = Tokenizer(self.tokenizer.model)
-        self.known: dict[str, list[int]] = {}
+        # Words of two generations: what the older one holds and is met again moves on.
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def normalized(self, text: str) -> str:
         if self.plain:
@@ -179,8 +182,11 @@ class Coder:
             return [one.ids for one in coded]
         cut = [self.word.findall(self.normalized(text)) for text in texts]
         if len(self.known) > CACHE:
-            self.known = {}
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
+            self.known, self.older = {}, self.known
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        met = new.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met)))
+        new = list(new.difference(met))
         coded = self.words.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, [tuple(one.ids) for one in coded]))
         return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
@@ -189,7 +195,8 @@ class Coder:
 @lru_cache(maxsize=4)
 def _loaded(name: str, threads: int) -> Coder:
     """One coder per worker process and model."""
-    os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+    # Read by the library when it is first used in a process.
+    os.environ["RAYON_NUM_THREADS"] = str(threads)
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     with open(SparkFiles.get(name), "rb") as file:
         return Coder(read_model(file.read()))
@@ -232,15 +239,20 @@ def ship(docs: DataFrame, model_path: str) -> str:
     return os.path.basename(model_path)
 
 
+def task_threads(docs: DataFrame) -> int:
+    """As many threads as Spark gives a task CPUs; more would run on those of other tasks."""
+    return int(docs.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
+
+
 def encode(
-    docs: DataFrame, model_path: str, threads: int = THREADS, round_trip: bool = False, parity: bool = False
+    docs: DataFrame, model_path: str, threads: int | None = None, round_trip: bool = False, parity: bool = False
 ) -> DataFrame:
     """The columns of `docs` and `ids` (array of int); columns of the new names are replaced.
 
     On demand also `round_trip` (decoding gives back the text) and `parity` (the sentencepiece library
     gives the same ids); both null for a null text.
     """
-    name = ship(docs, model_path)
+    name, threads = ship(docs, model_path), threads or task_threads(docs)
     wanted = (("ids", "array<int>", True), ("round_trip", "boolean", round_trip), ("parity", "boolean", parity))
     new = {column: kind for column, kind, asked in wanted if asked}
     kept = [column for column in docs.columns if column not in new]
@@ -257,7 +269,8 @@ def encode(
             found.append(_spread([a == b for a, b in zip(back, texts)], there, pa.bool_()))
         if parity:
             reference = _reference(name)
-            found.append(_spread([reference.encode(t) == one for t, one in zip(texts, ids)], there, pa.bool_()))
+            theirs = (coded for some in _calls(texts) for coded in reference.encode(some, num_threads=1))
+            found.append(_spread(list(map(eq, theirs, ids)), there, pa.bool_()))
         return pa.record_batch([*(batch[c] for c in kept), *found], [*kept, *new])
 
     kinds = {field.name: field.dataType.simpleString() for field in docs.schema} | new
@@ -270,9 +283,9 @@ def _spread(values: list, there: pa.Array, kind: pa.DataType) -> pa.Array:
     return pa.array([next(rest) if valid else None for valid in there.to_pylist()], kind)
 
 
-def decode(coded: DataFrame, model_path: str, threads: int = THREADS) -> DataFrame:
+def decode(coded: DataFrame, model_path: str, threads: int | None = None) -> DataFrame:
     """The columns of `coded` and `decoded`, the text of its `ids`; a column of that name is replaced."""
-    name = ship(coded, model_path)
+    name, threads = ship(coded, model_path), threads or task_threads(coded)
     kept = [column for column in coded.columns if column != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
