@@ -131,9 +131,11 @@ def matched_lines(texts):
     return gone
 
 
-@pytest.mark.parametrize("hot", [1000, 2])
-def test_lines_against_all_pairs(docs, texts, monkeypatch, hot):
-    monkeypatch.setattr(line_dedup, "HOT", hot)
+@pytest.mark.parametrize("early", [True, False])
+def test_lines_against_all_pairs(docs, texts, monkeypatch, early):
+    if not early:
+        nothing = docs.sparkSession.createDataFrame([], "x long, y long")
+        monkeypatch.setattr(line_dedup, "first_partners", lambda sets: nothing)
     gone = matched_lines(texts)
     for row in line_dedup.line_dedup(docs).collect():
         text = texts[row["doc_id"]]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill.session import scratch_path
+from tunemill.sources.tables import file_system_path
 
 #: A text cut at this pattern gives the words of the `[^\x20\x09-\x0D]+` operators.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -26,8 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back; a lost executor costs no recomputation."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `stored` gave, once all that is made of them is written itself."""
+    for table in tables:
+        files, path = file_system_path(table.sparkSession, table.stored_path)
+        files.delete(path, True)
 
 
 def encoded(text: str | None) -> bytes:

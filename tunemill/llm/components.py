@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import stored
+from tunemill.llm.common import discard, stored
 
 
 def _nearest(links: DataFrame, node: str, other: str) -> DataFrame:
@@ -34,6 +34,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = _nearest(large, "a", "b")
         small = large.join(low, "a").select(F.greatest("b", "low").alias("x"), F.col("low").alias("b"))
         small = small.where("x <> b").select(F.col("x").alias("a"), "b").union(low.select("a", F.col("low").alias("b")))
-        links = stored(small.where("a <> b").distinct(), "links")
+        last, links = links, stored(small.where("a <> b").distinct(), "links")
+        discard(last)
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(links.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))

@@ -11,11 +11,12 @@ document) matches it. Lines without words match nothing.
 3. Filters, on pairs that meet in a token: length (5 * smaller >= 4 * larger), position (what is left of both
    lists behind the token must suffice) and sketch. A sketch is 64 bits, each the parity of the
    tokens hashed to it: it differs in one bit at most for each token that only one set has.
-4. Check. Pairs that are left are compared word by word.
+4. Check. Pairs that are left are compared word by word. Only lines that occur in a pair travel: others are
+   left out by a bitmap of 2^24 hashed keys, which may let through too many but never too few.
 
-Tokens in slots of over `HOT` occurrences are tried against the first line that lists them
-before all others. Lines that match it need no other partner, so a line copied with small changes a
-million times makes a million pairs, not their square. All others meet all their partners.
+Before all others, lines are tried against the first line that has the same smallest, or largest, hash among its
+listed tokens. Lines that match it need no other partner, so a line copied with small changes a
+million times makes a few million pairs, not the square. All others meet all their partners.
 
 A null text has no lines and stays null. Lines of a row with a null id are kept and remove
 nothing. Rows that repeat an id are one document: their lines are numbered alike, and what goes in
@@ -27,15 +28,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import SPACE, stored
+from tunemill.llm.common import SPACE, discard, stored
 
 WORD = r"[^\x20\x09-\x0D]"
 SLOT_BITS = 20
-HOT = 128
+BITMAP_BITS = 24
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda word: word != "")
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def slot_counts(docs: DataFrame) -> DataFrame:
@@ -65,18 +66,18 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
     lines = lines.where(F.col("line").rlike(WORD))
 
     def coded(table: Column) -> Column:
-        def code(h: Column) -> Column:
+        def code(word: Column) -> Column:
+            h = F.xxhash64(word)
             count = table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")]
             return F.shiftleft(count.cast("bigint"), 32).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFFFF)))
 
-        hashes = F.transform(words_of(F.col("line")), lambda word: F.xxhash64(word))
-        return F.sort_array(F.array_distinct(F.transform(hashes, code)))
+        return F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), code)))
 
-    key = F.col("doc_id").cast(kind) * F.lit(1 << bits).cast(kind) + F.col("line_no").cast(kind)
+    key = _key(F.col("doc_id"), F.col("line_no"), bits, kind)
     # One select after the subquery column, so that the two merge and the array isn't copied into each row.
     return (
         lines.withColumn("_slots", slots.scalar())
-        .select(key.cast(kind).alias("key"), F.transform(F.array("_slots"), coded)[0].alias("tokens"))
+        .select(key.alias("key"), F.transform(F.array("_slots"), coded)[0].alias("tokens"))
     )
 
 
@@ -95,12 +96,12 @@ def described(sets: DataFrame) -> DataFrame:
 IDENTITY = ["set_hash", "sketch", "n"]
 
 
-def listed(sets: DataFrame) -> DataFrame:
+def listed(sets: DataFrame, *carried: str) -> DataFrame:
     """token, pos, and first line (key), sketch and n of each set of four tokens or more.
 
     Smaller sets match equal ones only.
     """
-    return sets.where("n > 3").select("key", "sketch", "n", F.posexplode("prefix").alias("pos", "token"))
+    return sets.where("n > 3").select("key", "sketch", "n", *carried, F.posexplode("prefix").alias("pos", "token"))
 
 
 def _may_match(x: str, y: str) -> Column:
@@ -113,72 +114,116 @@ def _may_match(x: str, y: str) -> Column:
     )
 
 
-def first_partners(entries: DataFrame) -> DataFrame:
-    """x, y: lines and the first line under each of their hot tokens."""
-    hot = entries.where(F.shiftright("token", 32) > HOT)
-    first = hot.groupBy("token").agg(
-        F.min("key").alias("key"),
-        *[F.min_by(name, "key").alias(name) for name in ("sketch", "n", "pos")],
+def first_partners(sets: DataFrame) -> DataFrame:
+    """x, y: lines and the first line that has the same smallest or largest hash among the listed tokens."""
+    hashes = F.transform("prefix", lambda token: F.xxhash64(token))
+    rows = sets.where("n > 3").select("key", "sketch", "n", F.lit(0).alias("pos"), hashes.alias("hashes"))
+    ends = F.array(F.array_min("hashes"), F.array_max("hashes"))
+    rows = rows.select("key", "sketch", "n", "pos", F.explode(ends).alias("mark"))
+    first = rows.groupBy("mark").agg(
+        F.min("key").alias("key"), *[F.min_by(name, "key").alias(name) for name in ("sketch", "n", "pos")]
     )
-    pairs = hot.alias("x").join(first.alias("y"), F.expr("x.token = y.token") & _may_match("x", "y"))
+    pairs = rows.alias("x").join(first.alias("y"), F.expr("x.mark = y.mark") & _may_match("x", "y"))
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
-def all_partners(entries: DataFrame, settled: DataFrame) -> DataFrame:
-    """x, y: lines that are not settled and all lines before them that may match."""
-    open_lines = entries.join(settled, entries["key"] == settled["x"], "left_anti")
-    pairs = open_lines.alias("x").join(entries.alias("y"), F.expr("x.token = y.token") & _may_match("x", "y"))
+def all_partners(entries: DataFrame) -> DataFrame:
+    """x, y: lines that are open and all lines before them that may match.
+
+    Both sides are the same table, so that Spark deals it out once.
+    """
+    pairs = entries.alias("x").join(entries.alias("y"), F.expr("x.token = y.token AND x.open") & _may_match("x", "y"))
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
-def matching(pairs: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
+def bitmap(values: DataFrame, column: str) -> DataFrame:
+    """One row, one column `bits`: 2^BITMAP_BITS bits as longs, set where a value's hash points to."""
+    place = F.shiftrightunsigned(F.xxhash64(column), 64 - BITMAP_BITS)
+    bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
+    words = values.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
+    every = values.sparkSession.range(1 << (BITMAP_BITS - 6)).join(words, "id", "left")
+    ordered = F.sort_array(F.collect_list(F.struct("id", "bits")))
+    return every.agg(F.transform(ordered, lambda s: F.coalesce(s["bits"], F.lit(0).cast("long"))).alias("bits"))
+
+
+def maybe_in(bits: Column, value: Column) -> Column:
+    place = F.shiftrightunsigned(F.xxhash64(value), 64 - BITMAP_BITS)
+    word = bits[F.shiftright(place, 6).cast("int")]
+    return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def _key(doc_id: Column, line_no: Column, bits: int, kind: str) -> Column:
+    return (doc_id.cast(kind) * F.lit(1 << bits).cast(kind) + line_no.cast(kind)).cast(kind)
+
+
+def _place(bits: int, kind: str) -> tuple[Column, Column]:
+    """doc_id and line number of a key."""
+    if kind == "bigint":
+        return F.shiftright("key", bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    doc_id = F.expr(f"CAST(floor(key / {1 << bits}BD) AS BIGINT)")
+    return doc_id, (F.col("key") - doc_id.cast(kind) * F.lit(1 << bits).cast(kind)).cast("int")
+
+
+def matching(pairs: DataFrame, docs: DataFrame, bits: int, kind: str) -> DataFrame:
     """x of the pairs whose lines' sets of words have a Jaccard similarity of 0.8 or more."""
-    ends = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
-    doc_id, line_no = F.expr(f"floor(key / {1 << bits})").cast("bigint"), F.col("key") - F.expr(f"floor(key / {1 << bits})") * (1 << bits)
-    if dict(pairs.dtypes)["x"] == "bigint":
-        doc_id, line_no = F.shiftright("key", bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    wanted = ends.select("key", doc_id.alias("doc_id"), line_no.cast("int").alias("line_no"))
-    line = F.split("text", "\n", -1)[F.col("line_no")]
-    words = (
-        wanted.join(docs.select("doc_id", "text"), "doc_id")
-        .select("key", F.array_distinct(words_of(line)).alias("words"))
-        .where("words IS NOT NULL")
-    )
-    both = (
-        pairs.join(words.select(F.col("key").alias("x"), F.col("words").alias("x_words")), "x")
-        .join(words.select(F.col("key").alias("y"), F.col("words").alias("y_words")), "y")
-    )
-    common = F.size(F.array_intersect("x_words", "y_words"))
-    return both.where(9 * common >= 4 * (F.size("x_words") + F.size("y_words"))).select("x").distinct()
+    pairs = stored(pairs, "pairs")
+    lines = docs.where("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    lines = lines.select(_key(F.col("doc_id"), F.col("line_no"), bits, kind).alias("key"), "line")
+
+    wanted = {end: stored(bitmap(pairs, end), "bitmap") for end in ("x", "y")}
+
+    def side(end: str) -> DataFrame:
+        there = lines.withColumn("_bits", wanted[end].scalar()).where(maybe_in(F.col("_bits"), F.col("key")))
+        return there.select(F.col("key").alias(end), F.col("line").alias(f"{end}_line"))
+
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
+    x_words, y_words = (F.array_distinct(words_of(F.col(line))) for line in ("x_line", "y_line"))
+
+    def alike(pair: Column) -> Column:
+        common = F.size(F.array_intersect(pair["a"], pair["b"]))
+        return 9 * common >= 4 * (F.size(pair["a"]) + F.size(pair["b"]))
+
+    # As one argument of a function, the sets of words are worked out once for each pair.
+    sets = F.array(F.struct(x_words.alias("a"), y_words.alias("b")))
+    found = stored(both.where(F.transform(sets, alike)[0]).select("x").distinct(), "matching")
+    discard(pairs, *wanted.values())
+    return found
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, removed (numbers of the lines that go, from 0) of the documents that lose some."""
+    """doc_id, removed (numbers of the lines that go, from 0) of the documents that lose some. A stored table."""
     bits, kind = line_keys(docs)
     slots = stored(slot_counts(docs), "slots")
     lines = stored(described(token_sets(docs, slots, bits, kind)), "lines")
-    sets = lines.groupBy(*IDENTITY).agg(F.min("key").alias("key"), F.min_by("prefix", "key").alias("prefix"))
-    entries = listed(sets)
-    by_first = matching(first_partners(entries), docs, bits)
-    late = by_first.union(matching(all_partners(entries, by_first), docs, bits)).distinct()
-    verdict = sets.select("key", *IDENTITY).join(late.withColumn("late", F.lit(True)), F.col("key") == F.col("x"), "left")
-    verdict = verdict.select(F.col("key").alias("first_key"), "late", *IDENTITY)
-    gone = lines.select("key", *IDENTITY).join(verdict, IDENTITY).where(F.col("late") | (F.col("key") > F.col("first_key")))
-    if kind == "bigint":
-        doc_id, line_no = F.shiftright("key", bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    else:
-        doc_id = F.expr(f"floor(key / {1 << bits})").cast("bigint")
-        line_no = F.col("key") - doc_id.cast("decimal(38,0)") * F.lit(1 << bits).cast("decimal(38,0)")
-    return (
-        gone.select(doc_id.alias("doc_id"), line_no.cast("int").alias("line_no"))
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("removed"))
+    first = lines.groupBy(*IDENTITY).agg(F.min("key").alias("key"), F.min_by("prefix", "key").alias("prefix"))
+    sets = stored(first, "sets")
+    early = matching(first_partners(sets), docs, bits, kind)
+    flagged = sets.join(early.select(F.col("x").alias("key"), F.lit(True).alias("settled")), "key", "left")
+    late = matching(all_partners(listed(flagged.withColumn("open", F.col("settled").isNull()), "open")), docs, bits, kind)
+    gone_sets = sets.select("key", *IDENTITY).join(
+        early.union(late).distinct().select(F.col("x").alias("key"), F.lit(True).alias("late")), "key", "left"
     )
+    verdict = gone_sets.withColumnRenamed("key", "first_key")
+    gone = lines.select("key", *IDENTITY).join(verdict, IDENTITY).where(F.col("late") | (F.col("key") > F.col("first_key")))
+    doc_id, line_no = _place(bits, kind)
+    removed = stored(gone.groupBy(doc_id.alias("doc_id")).agg(F.collect_set(line_no).alias("removed")), "removed")
+    discard(slots, lines, sets, early, late)
+    return removed
 
 
 def without_lines(docs: DataFrame) -> DataFrame:
-    """The columns of `docs`, with `_lines` before and `_kept` after the removal."""
-    rows = docs.withColumn("_lines", F.split("text", "\n", -1)).join(removed_lines(docs), "doc_id", "left")
+    """The columns of `docs`, with `_lines` before and `_kept` after the removal.
+
+    Documents that lose no line, as a bitmap of the others shows, don't travel.
+    """
+    removed = removed_lines(docs)
+    losing = stored(bitmap(removed, "doc_id"), "bitmap")
+    marked = docs.withColumn("_bits", losing.scalar()).select(
+        *[F.col(f"`{c}`") for c in docs.columns], maybe_in(F.col("_bits"), F.col("doc_id")).alias("_loses")
+    )
+    still = marked.where("NOT coalesce(_loses, FALSE)").drop("_loses").withColumn("removed", F.lit(None).cast("array<int>"))
+    moved = marked.where("_loses").drop("_loses").join(removed, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "removed")
+    rows = still.union(moved).withColumn("_lines", F.split("text", "\n", -1))
     numbers = F.sequence(F.lit(0), F.size("_lines") - 1)
     kept = F.transform(F.array_except(numbers, "removed"), lambda number: F.col("_lines")[number])
     return rows.select(
