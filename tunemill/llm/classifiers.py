@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,13 +68,22 @@ def train(
 
     # At most 2 x `bound` ids, so the broadcast has a proven size.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = per_row(texts, "doc_id long, role int, features binary", features).collect()
-    sample.sort(key=lambda row: (row["role"], row["doc_id"], bytes(row["features"])))
-    rows = [Rows([np.frombuffer(r["features"], np.int32) for r in sample if r["role"] == role]) for role in (1, 0)]
+    sample = per_row(texts, "doc_id long, role int, features binary", features).toArrow()
+    rows = [_rows(sample.filter(pc.equal(sample["role"], role))) for role in (1, 0)]
+    del sample
     weights, bias = fit(*rows, prior, width, most, least_z, rate)
     return Model(weights.astype(np.float32), bias, prior)
 
 
+def _rows(sample: pa.Table) -> Rows:
+    """The features as they lie in the table, without a copy for each row."""
+    found = sample["features"].combine_chunks()
+    lengths = pc.binary_length(found).to_numpy() // 4
+    flat = np.frombuffer(found.buffers()[2] or b"", np.uint8) if len(found) else np.empty(0, np.uint8)
+    offsets = np.frombuffer(found.buffers()[1], np.int32)[found.offset : found.offset + len(found) + 1] if len(found) else [0, 0]
+    return Rows.of(flat[offsets[0] : offsets[-1]].view(np.int32), lengths, sample["doc_id"].to_numpy())
+
+
 def score(docs: DataFrame, model: Model, featurize: Featurize, threshold: float, *carried: str) -> DataFrame:
     """doc_id, held_out, score, predicted for each row, and the columns named in `carried`."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))

@@ -8,6 +8,8 @@ zero for the true risk; where the estimate falls below it, the step goes the oth
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 STEPS = 400
@@ -16,23 +18,45 @@ RIDGE = 1e-5
 FLOOR = 1e-6
 
 
+#: Features counted or renumbered at a time.
+PIECE = 1 << 20
+
+
 class Rows:
-    """Rows of feature numbers in compressed form."""
+    """Rows of feature numbers, all in one array with the number of each one's row."""
 
     def __init__(self, rows: list[np.ndarray]):
         self.n = len(rows)
-        self.features = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
-        self.owner = np.repeat(np.arange(self.n), [len(row) for row in rows])
+        self.features = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int32)
+        self.owner = np.repeat(np.arange(self.n, dtype=np.int32), [len(row) for row in rows])
+
+    @classmethod
+    def of(cls, features: np.ndarray, lengths: np.ndarray, names: np.ndarray) -> Rows:
+        """From one array of all features; rows are numbered in the order of their names."""
+        rows = cls([])
+        number = np.empty(len(lengths), np.int32)
+        number[np.argsort(names, kind="stable")] = np.arange(len(lengths))
+        rows.n, rows.features, rows.owner = len(lengths), features, np.repeat(number, lengths)
+        return rows
+
+    def pieces(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(self.features), PIECE):
+            yield self.features[at : at + PIECE], self.owner[at : at + PIECE]
 
     def keep(self, column_of: np.ndarray) -> Rows:
-        """The features with a column, renumbered; column_of is -1 for the others."""
-        out = Rows([])
-        column = column_of[self.features]
-        out.n, out.features, out.owner = self.n, column[column >= 0], self.owner[column >= 0]
+        """The features with a column, renumbered, in order of row; column_of is -1 for the others."""
+        found = [(column_of[some], owner) for some, owner in self.pieces()]
+        out = Rows([column[column >= 0] for column, _ in found])
+        owner = np.concatenate([*(owner[column >= 0] for column, owner in found), np.empty(0, np.int32)])
+        order = np.lexsort((out.features, owner))
+        out.n, out.features, out.owner = self.n, out.features[order], owner[order]
         return out
 
     def counts(self, width: int) -> np.ndarray:
-        return np.bincount(self.features, minlength=width)
+        total = np.zeros(width, np.int64)
+        for some, _ in self.pieces():
+            total += np.bincount(some, minlength=width)
+        return total
 
     def margins(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.owner, weights[self.features], minlength=self.n)
@@ -74,7 +98,7 @@ def fit(
         return weights, -30.0
     prior = min(prior, 1 - FLOOR)
     chosen = telling_features(positive, unlabelled, width, most, least_z)
-    column_of = np.full(width, -1)
+    column_of = np.full(width, -1, np.int32)
     column_of[chosen] = np.arange(len(chosen))
     p, u, k = positive.keep(column_of), unlabelled.keep(column_of), len(chosen)
     state = np.zeros(k + 1)
