@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from tunemill.llm.common import per_row
+from tunemill.llm.common import in_slices
 
 MARKER = "▁"
 #: Words whose tokens a worker keeps in each of two generations.
-CACHE = 300_000
+CACHE = 200_000
 #: Bytes of text in one call of the library.
 CALL_BYTES = 1_000_000
 DECODED_AT_A_TIME = 256
@@ -171,6 +171,9 @@ class Coder:
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def normalized(self, text: str) -> str:
         if self.plain:
             return self.prefix + text.replace(" ", MARKER) if text else text
@@ -273,9 +276,17 @@ def encode(
             found.append(_spread(list(map(eq, theirs, ids)), there, pa.bool_()))
         return pa.record_batch([*(batch[c] for c in kept), *found], [*kept, *new])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for part in in_slices(batches):
+                yield rows(part)
+        finally:
+            # The process goes on to other tasks and keeps the tokenizer, but not the words.
+            _loaded(name, threads).forget()
+
     kinds = {field.name: field.dataType.simpleString() for field in docs.schema} | new
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*kept, *new])
-    return per_row(docs.select(*[f"`{c}`" for c in kept]), schema, rows)
+    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
 
 
 def _spread(values: list, there: pa.Array, kind: pa.DataType) -> pa.Array:
