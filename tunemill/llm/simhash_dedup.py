@@ -44,22 +44,31 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 HASHES_AT_A_TIME = 1 << 16
 
 
-def fingerprint(text: bytes) -> int:
+def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; a text of fewer words is one shingle, one without words has none."""
     words = space_words(text.lower())
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.append(0, ends[:-1] + 1)
-    last = min(SHINGLE, len(words)) - 1
+    last = min(size, len(words)) - 1
     starts, ends = starts[: len(words) - last].tolist(), ends[last:].tolist()
+    return np.fromiter((xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes; zero for none."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(starts), HASHES_AT_A_TIME):
-        some = slice(at, at + HASHES_AT_A_TIME)
-        hashes = [xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts[some], ends[some])]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8), bitorder="little")
+    for at in range(0, len(hashes), HASHES_AT_A_TIME):
+        some = hashes[at : at + HASHES_AT_A_TIME].astype("<u8")
+        bits = np.unpackbits(some.view(np.uint8), bitorder="little")
         ones += bits.reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: bytes) -> int:
+    return majority(shingle_hashes(text))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -159,9 +168,10 @@ def _same_id(named: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, with all their columns, but one document of each component.
+    """The rows of `docs`, with all their columns, but one document of each component by 5-word Jaccard (near_dedup).
 
     The document with the smallest id stays. A row with a null id can't be named and stays.
     """
-    dropped = simhash_components(docs).where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    from tunemill.llm.near_dedup import duplicates
+
+    return docs.join(duplicates(docs), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
