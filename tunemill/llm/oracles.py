@@ -76,4 +76,80 @@ ORACLES = {
             sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_conversation_trie": r"""
+        WITH RECURSIVE crc_steps AS (
+            SELECT i, CAST(i AS BIGINT) AS v, 0 AS step FROM range(256) AS u(i)
+            UNION ALL
+            SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM crc_steps WHERE step < 8
+        ), crc_table AS (SELECT list(v ORDER BY i) AS entries FROM crc_steps WHERE step = 8),
+        ids AS (
+            SELECT DISTINCT conv_id, list_prepend(4294967295, list_transform(
+                string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)
+            )) AS bytes FROM conversations WHERE conv_id IS NOT NULL
+        ), takes AS (
+            SELECT conv_id, xor(
+                list_reduce(bytes, lambda crc, byte: xor(crc >> 8, entries[(xor(crc, byte) & 255) + 1])), 4294967295
+            ) % 4 AS h
+            FROM ids, crc_table
+        ), t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), rebuilt AS (
+            SELECT c.conv_id, t.place, md5(length(t.role) || ':' || t.role || t.text) AS name, t.text
+            FROM takes AS c JOIN t ON t.conv_id = CASE WHEN t.place <= c.h THEN c.conv_id - c.conv_id % 20 ELSE c.conv_id END
+        ), paths AS (
+            SELECT conv_id, list(name ORDER BY place) FILTER (name IS NOT NULL) AS names, list(text ORDER BY place) FILTER (name IS NOT NULL) AS texts
+            FROM takes LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+        ), members AS (
+            SELECT conv_id, d AS depth, array_to_string(names[1:d], '') AS node, array_to_string(names[1:d - 1], '') AS above,
+                coalesce(len(names), 0) AS length,
+                CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(texts[d], '[^\x20\x09-\x0D]+')) END AS words
+            FROM paths, unnest(range(0, coalesce(len(names), 0) + 1)) AS u(d)
+        ), nodes AS (
+            SELECT coalesce(node, '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(above, '')) AS above,
+                (count(*) - 1) * any_value(words) AS own,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+            FROM members GROUP BY coalesce(node, ''), depth
+        ), children AS (SELECT above, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children ON children.above = node AND children.depth = nodes.depth),
+        subtrees AS (
+            SELECT a.node, a.depth, count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum(b.own) AS BIGINT) AS saved_tokens
+            FROM counted AS a JOIN counted AS b ON b.depth >= a.depth AND starts_with(b.node, a.node) GROUP BY a.node, a.depth
+        )
+        SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+        FROM counted AS c JOIN subtrees AS s USING (node, depth) LEFT JOIN nodes AS p ON p.node = c.above AND p.depth = c.depth - 1
+    """,
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'
+            ) AS words, row_number() OVER () AS doc
+            FROM documents
+        ), w AS (SELECT lang, source, doc, unnest(words) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+        vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+        totals AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+        f AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+                1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (coalesce(totals.total, 0) + 5 * v) AS p,
+                1 + CAST(1000000000 AS HUGEINT) * (kept.n + 5) // (vocabulary.total + 5 * v) AS q
+            FROM g JOIN kept USING (lang) JOIN vocabulary USING (lang)
+            LEFT JOIN totals USING (lang, source) LEFT JOIN c USING (lang, source, term)
+        ), parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+            FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN f AS x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN f AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY a.lang, a.source, b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM f WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }

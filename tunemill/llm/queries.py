@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from tunemill.llm import (
     chat_format,
+    conversation_trie,
     decontamination,
     exact_dedup,
     license_scan,
     line_dedup,
+    neighbour_search,
     quality,
     sentencepiece_codec,
     simhash_dedup,
+    source_divergence,
     substring_dedup,
     toxicity,
 )
@@ -90,3 +93,18 @@ def op10_chat_format(spark, sf_dir):
         [(-1, 0, "user", hostile), (-1, 1, "assistant", hostile)], "conv_id long, turn long, role string, text string"
     )
     return chat_format.chat_digest(said.union(added).withColumn("parts", chat_format.text_parts()))
+
+
+@query
+def op11_conversation_trie(spark, sf_dir):
+    return conversation_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_neighbour_search(spark, sf_dir):
+    return neighbour_search.nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.source_divergence(documents(spark, sf_dir))
