@@ -10,7 +10,7 @@ from tunemill.operators import batching, positions
 from tunemill.plans.queries import QUERIES
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "collate_batches", "run_on_ranks"}
+WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "subword_tokenize", "subword_decode", "collate_batches", "run_on_ranks"}
 
 
 @pytest.mark.parametrize("name", QUERIES)

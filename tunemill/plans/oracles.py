@@ -198,18 +198,56 @@ def _token_parts(source: str) -> dict[str, str]:
     }
 
 
+# Byte-pair coding of the prompts. The last blank of white space before a word belongs to that word, so
+# texts are cut there first; \s is spelled out, as here it knows ASCII only.
+_BLANK = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SUBWORD_PARTS = {
+    "ranks": """
+        SELECT hex(from_base64(split_part(line, ' ', 1))) AS piece, CAST(split_part(line, ' ', 2) AS INT) AS token_id
+        FROM (SELECT unnest(string_split(trim(content, chr(10)), chr(10))) AS line
+              FROM read_text('/opt/tokenizers/byte_bpe_50k.tiktoken'))""",
+    "word_lists": rf"""
+        SELECT id, flatten(list_transform(
+            string_split(regexp_replace(text, '([{_BLANK}])([{_BLANK}][^{_BLANK}])', '\1' || chr(1) || '\2', 'g'), chr(1)),
+            lambda s: regexp_extract_all(s, '''(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_BLANK}\p{{L}}\p{{N}}]+|[{_BLANK}]+')
+        )) AS words FROM prompts""",
+    "placed_words": "SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM word_lists",
+    # One pair of each word is joined in each round: the one of lowest rank, the first of equals.
+    "merging": """
+        SELECT word, list_transform(range(1, octet_length(encode(word)) + 1), lambda i: substr(hex(encode(word)), 2 * i - 1, 2)) AS parts
+        FROM (SELECT DISTINCT word FROM placed_words)
+        UNION ALL
+        SELECT word, list_concat(list_concat(parts[1:k - 1], [parts[k] || parts[k + 1]]), parts[k + 2:])
+        FROM (SELECT m.word, m.parts, arg_min(m.i, CAST(r.token_id AS BIGINT) * 1000000 + m.i) AS k
+              FROM (SELECT word, parts, unnest(range(1, len(parts))) AS i FROM merging) AS m
+              JOIN ranks AS r ON r.piece = m.parts[m.i] || m.parts[m.i + 1]
+              GROUP BY m.word, m.parts)""",
+    "word_ids": """
+        SELECT word, list(token_id ORDER BY j) AS ids
+        FROM (SELECT word, unnest(parts) AS piece, generate_subscripts(parts, 1) AS j
+              FROM (SELECT word, arg_min(parts, len(parts)) AS parts FROM merging GROUP BY word))
+        JOIN ranks USING (piece) GROUP BY word""",
+    "tokens": """
+        SELECT id, input_ids, CAST(len(input_ids) AS INT) AS n_tokens
+        FROM (SELECT id, flatten(list(ids ORDER BY pos))[1:512] AS input_ids FROM placed_words JOIN word_ids USING (word) GROUP BY id)""",
+}
+
+
 def _sql(final: str, names: str = "", source: str = "prompts") -> str:
-    """`final` behind the parts in `names`; the word tokens stands for all the token parts."""
+    """`final` behind the parts in `names`; the words tokens and subwords stand for all their parts."""
     parts = []
     for name in names.split():
         if name == "tokens":
             parts += _token_parts(source).items()
+        elif name == "subwords":
+            parts += _SUBWORD_PARTS.items()
         else:
             parts.append((name, _PARTS[name]))
     if not parts:
         return final
     listed = ",\n".join(f"{name} AS ({body})" for name, body in parts)
-    return f"WITH {listed}\n{final}"
+    recursive = "RECURSIVE " if "subwords" in names.split() else ""
+    return f"WITH {recursive}{listed}\n{final}"
 
 
 _INSTRUCTIONS = "paired instructions"
@@ -453,11 +491,16 @@ ORACLES: dict[str, str] = {
         "runs key_pairs param_pairs",
     ),
     "map_rows": _sql("SELECT id, context, nfc_normalize(response) AS composed FROM instructions", _INSTRUCTIONS),
+    "subword_tokenize": _sql(
+        f"SELECT id, n_tokens, {_text('input_ids')} FROM tokens", f"{_INSTRUCTIONS} prompts subwords"
+    ),
+    "subword_decode": _sql("SELECT id, text FROM prompts", f"{_INSTRUCTIONS} prompts"),
     "pluggable_tokenizer": _sql(
-        """SELECT id, substr(hex(encode(text)), 1, 1024) AS bytes,
-        CAST(least(octet_length(encode(text)), 512) AS INT) AS n_tokens, CAST(least(octet_length(encode(text)), 512) AS INT) AS n_mask
-        FROM prompts""",
-        f"{_INSTRUCTIONS} prompts",
+        f"""SELECT batch_id, slot, id, {_text('input_ids')},
+        array_to_string(list_transform(input_ids, lambda x: CASE WHEN x = 50256 THEN -100 ELSE x END), ' ') AS labels
+        FROM (SELECT batch_id, slot, t.id, list_resize(input_ids, MAX(n_tokens) OVER (PARTITION BY batch_id), 50256) AS input_ids
+              FROM sequential s JOIN tokens t ON s.id = t.id)""",
+        f"{_INSTRUCTIONS} prompts subwords seq sequential",
     ),
     "collate_batches": _sql(
         f"SELECT batch_id, slot, id, {_text('input_ids')}, {_text('labels')} FROM labelled", _MANUAL

@@ -16,7 +16,7 @@ from tunemill.functions import schedules
 from tunemill.functions.labels import IGNORED_LABEL
 from tunemill.functions.labels import causal_labels as causal
 from tunemill.functions.tokens import EOS_ID
-from tunemill.operators import batching, columns, tokenization, tracking, training, user_functions
+from tunemill.operators import batching, columns, subwords, tokenization, tracking, training, user_functions
 from tunemill.operators import prompts as prompting
 from tunemill.plans import fixtures as fx
 from tunemill.plans import prepare
@@ -30,6 +30,8 @@ WORLD_SIZE = 4
 SEED = 7
 ACCUMULATION = 2
 OUTPUT_DIR = "/models/results"
+# A public byte-level vocabulary, and the first id that it leaves free.
+RANK_FILE, FREE_ID = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50256
 
 QUERIES: dict[str, Query] = {}
 
@@ -210,6 +212,19 @@ def attention_mask(spark, sf_dir):
     )
 
 
+@query
+def subword_tokenize(spark, sf_dir):
+    coded = subwords.tokenize_subwords(prompts(spark, sf_dir), subwords.read_ranks(spark, RANK_FILE))
+    return coded.select("id", "n_tokens", shown("input_ids").alias("input_ids"))
+
+
+@query
+def subword_decode(spark, sf_dir):
+    ranks = subwords.read_ranks(spark, RANK_FILE)
+    coded = subwords.tokenize_subwords(prompts(spark, sf_dir), ranks, max_length=None)
+    return subwords.decode_subwords(coded.select("id", "input_ids"), ranks).select("id", "text")
+
+
 @query
 def drop_columns(spark, sf_dir):
     left = columns.drop_columns(tokens(spark, sf_dir)).drop("attention_mask")
@@ -484,13 +499,12 @@ def map_rows(spark, sf_dir):
 
 @query
 def pluggable_tokenizer(spark, sf_dir):
-    def load():
-        return lambda texts: [list(text.encode()) for text in texts]
-
-    encoded = user_functions.tokenize_with(prompts(spark, sf_dir), load)
-    return encoded.select(
-        "id", "n_tokens", F.size("attention_mask").alias("n_mask"), F.array_join(F.transform("input_ids", lambda b: F.lpad(F.hex(b), 2, "0")), "").alias("bytes")
-    )
+    known = subwords.ranks_value(subwords.read_ranks(spark, RANK_FILE))
+    encoded = user_functions.tokenize_with(prompts(spark, sf_dir), subwords.text_coder(known))
+    rows = prepare.stored(encoded.select("id", "input_ids", "attention_mask", "n_tokens"), "tokens")
+    assigned = batching.batch_max_length(batching.sequential_batches(rows.select("id", "n_tokens")))
+    batches = batching.collate(batching.attach_tokens(assigned, rows), FREE_ID)
+    return batches.select("batch_id", "slot", "id", shown("input_ids").alias("input_ids"), shown("labels").alias("labels"))
 
 
 @query
