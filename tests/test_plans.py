@@ -7,6 +7,7 @@ from conftest import TESTDATA, plan_of
 from pyspark.sql import functions as F
 
 from tunemill.operators import batching, positions
+from tunemill.plans import prepare
 from tunemill.plans.queries import QUERIES
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -21,10 +22,28 @@ def test_no_cross_join_and_no_python_in_the_native_path(spark, name):
         assert not re.search("Python|Pandas", plan)
 
 
-def single_partition_inputs(plan):
-    """What each exchange to one partition reads: the operator under it."""
-    lines = plan.splitlines()
-    return [lines[i + 1].strip(" :+-*()0123456789") for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+def final_plan(df):
+    """The lines of the plan as it was run: first plans and what was taken from elsewhere in it are left out."""
+    df.collect()
+    lines, skipped = [], None
+    for line in plan_of(df).splitlines():
+        text = re.search(r"[^ :+\-*()0-9]", line)
+        column = text.start() if text else 0
+        if skipped is not None and column >= skipped:
+            continue
+        skipped = column if "== Initial Plan ==" in line else None
+        if skipped is None:
+            lines.append(line)
+    return lines
+
+
+def counts(df):
+    lines = final_plan(df)
+    return {
+        "hash": sum("- Exchange hashpartitioning" in line for line in lines),
+        "single": sum("- Exchange SinglePartition" in line for line in lines),
+        "scans": sum("FileScan" in line for line in lines),
+    }
 
 
 @pytest.fixture
@@ -33,26 +52,57 @@ def stored_rows(spark, tmp_path):
     return spark.read.parquet(str(tmp_path / "rows"))
 
 
-def test_positions_send_only_block_totals_to_one_task(spark, conf, stored_rows):
+@pytest.fixture
+def token_rows(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    ones = F.array_repeat(F.lit(1), (F.col("id") % 7 + 1).cast("int"))
+    spark.range(300).select(
+        "id", ones.alias("input_ids"), ones.alias("attention_mask"), (F.col("id") % 7 + 1).cast("int").alias("n_tokens")
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_positions_send_only_a_row_per_range_to_one_task(spark, conf, stored_rows):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    inputs = single_partition_inputs(plan_of(batching.sequential_batches(stored_rows)))
-    assert inputs and all(i.startswith("HashAggregate(keys=[_block#") for i in inputs)
+    for df in (batching.sequential_batches(stored_rows), positions.with_shuffled_position(stored_rows, 1)):
+        lines = final_plan(df)
+        inputs = [
+            next(text for text in (later.strip(" :+-*()0123456789") for later in lines[i + 1 :]) if not text.startswith(("WholeStage", "Project")))
+            for i, line in enumerate(lines)
+            if "- Exchange SinglePartition" in line
+        ]
+        # Sizes of ranges, and a quantile sketch of each task.
+        assert inputs and all(i.startswith(("HashAggregate(keys=[_range#", "ObjectHashAggregate(keys=[], functions=[partial_percentile")) for i in inputs)
 
 
 def test_rows_are_shuffled_once_for_their_position(spark, conf, stored_rows):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    lines = plan_of(positions.with_id_position(stored_rows)).splitlines()
-    wide = [i for i, line in enumerate(lines) if "Exchange" in line and "payload" in lines[i + 1]]
-    assert len(wide) == 1
+    for df in (positions.with_id_position(stored_rows), positions.with_cut_position(stored_rows)):
+        lines = plan_of(df).splitlines()
+        wide = [i for i, line in enumerate(lines) if "Exchange" in line and "payload" in lines[i + 1]]
+        assert len(wide) == 1
 
 
-def test_token_arrays_are_shuffled_once(spark, conf, tmp_path):
+def test_training_batches_take_few_shuffles(spark, conf, token_rows):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    path = str(tmp_path / "tokens")
-    spark.range(100).select(
-        "id", F.array(F.lit(1)).alias("input_ids"), F.array(F.lit(1)).alias("attention_mask"), F.lit(1).alias("n_tokens")
-    ).write.parquet(path)
-    tokens = spark.read.parquet(path)
+    found = counts(prepare.trainer_batches(token_rows, 4))
+    assert found["hash"] <= 8 and found["scans"] <= 3
+
+
+def test_epochs_add_no_shuffle(spark, conf, token_rows):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    two, four = (counts(prepare.trainer_epochs(token_rows, 4, epochs)) for epochs in (2, 4))
+    assert two == four and two["hash"] <= 8 and two["scans"] <= 3
+
+
+def test_a_mask_looks_nothing_up(spark):
+    plan = plan_of(QUERIES["attention_mask"](spark, SF_DIR))
+    assert "subquery" not in plan and "Exchange" not in plan
+
+
+def test_token_arrays_are_shuffled_once(spark, conf, token_rows):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tokens = token_rows
     assigned = batching.shard_batches(batching.length_grouped_batches(tokens.select("id", "n_tokens")), 4)
     plan = plan_of(batching.collate(batching.attach_tokens(batching.batch_max_length(assigned), tokens)))
     lines = plan.splitlines()

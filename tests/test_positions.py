@@ -2,14 +2,20 @@ import random
 
 import pytest
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from tunemill.operators import positions
 from tunemill.operators.positions import (
     running_total_before,
+    with_cut_position,
     with_id_position,
     with_shuffled_position,
 )
 
+# An error inside a subquery or a first stage comes in a wrapping of its own.
+RAISED = (PySparkException, Py4JJavaError)
+
 
 def ids_of(kind, rng):
     if kind == "dense":
@@ -63,5 +69,37 @@ def test_running_total_with_small_blocks(spark):
 @pytest.mark.parametrize("rows", [[(None, 1)], [(1, None)]])
 def test_null_orders_and_groups_nothing(spark, rows):
     df = spark.createDataFrame([*rows, (2, 2)], "id bigint, k bigint")
-    with pytest.raises(PySparkException, match="NULL in"):
+    with pytest.raises(RAISED, match="NULL in"):
         with_id_position(df, "id", ["k"]).collect()
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "clustered", "one"])
+def test_cut_positions_are_the_sorted_order(spark, kind):
+    rng = random.Random(8)
+    ids = [42] if kind == "one" else ids_of(kind, rng)
+    df = spark.createDataFrame([(i, "x") for i in rng.sample(ids, len(ids))], "id bigint, position string")
+    rows = with_cut_position(df).collect()
+    assert sorted((r["position"], r["id"]) for r in rows) == list(enumerate(ids, 1))
+    assert {r["_rows"] for r in rows} == {len(ids)}
+
+
+def test_ranges_hold_nearly_equal_numbers_of_rows(spark):
+    # Half of the ids in a narrow band, the others spread over 2^62.
+    df = spark.range(200_000).selectExpr("IF(id % 2 = 0, id, id << 44) AS id")
+    sizes = [r["count"] for r in positions._range_by_cuts(df, "id").groupBy("_range").count().collect()]
+    assert len(sizes) > 3900 and max(sizes) <= 4 * 200_000 / positions.RANGES
+
+
+def test_no_rows_and_null_ids(spark):
+    empty = spark.createDataFrame([], "id bigint")
+    assert with_cut_position(empty).count() == 0 and with_shuffled_position(empty, 1, epochs=2).count() == 0
+    with pytest.raises(RAISED, match="NULL in id"):
+        with_cut_position(spark.createDataFrame([(None,), (1,)], "id bigint")).collect()
+
+
+def test_epochs_are_the_orders_of_their_seeds(spark):
+    df = spark.range(500)
+    both = with_shuffled_position(df, "s", epochs=3).collect()
+    for epoch in range(3):
+        alone = {(r["id"], r["position"], r["_rows"]) for r in with_shuffled_position(df, f"s:{epoch}").collect()}
+        assert {(r["id"], r["position"], r["_rows"]) for r in both if r["epoch"] == epoch} == alone

@@ -28,3 +28,14 @@ def test_tokens_need_not_be_stored(spark):
     kept = prepare.trainer_batches(prepare.stored(tokens, "tokens"), 2, seed=1)
     assert lazy.select(*kept.columns).exceptAll(kept).count() == 0
     assert prepare.manual_batches(tokens).where(F.size("labels") != F.col("batch_length")).count() == 0
+
+
+def test_epochs_of_one_plan_are_those_planned_apart(spark):
+    df = spark.createDataFrame(ROWS, "id bigint, instruction string, context string, response string")
+    tokens = prepare.stored(prepare.prompt_tokens(df, 100), "tokens")
+    columns = ["rank", "step", "slot", "id", "batch_id", "input_ids", "labels"]
+    together = prepare.trainer_epochs(tokens, 3, epochs=3, seed="x").collect()
+    for epoch in range(3):
+        apart = prepare.trainer_batches(tokens, 3, seed=f"x:{epoch}").select(*columns).collect()
+        mine = [tuple(r[c] for c in columns) for r in together if r["epoch"] == epoch]
+        assert sorted(mine, key=repr) == sorted(map(tuple, apart), key=repr)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tunemill.functions.integers import ceil_div, whole_div
 from tunemill.functions.labels import causal_labels, pad_right
 from tunemill.functions.tokens import EOS_ID
-from tunemill.operators.positions import with_id_position, with_shuffled_position
+from tunemill.operators.positions import with_cut_position, with_shuffled_position
 
 # Fixed values of the workload.
 BATCH_SIZE = 4
@@ -28,48 +28,57 @@ def _cut(df: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def sequential_batches(df: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Adds `seq` (from 0, in id order), `batch_id` and `slot`; the last batch may be short."""
-    placed = with_id_position(df, name="_row")
-    return _cut(placed.withColumn("seq", F.col("_row") - 1).drop("_row"), batch_size)
+def sequential_batches(df: DataFrame, batch_size: int = BATCH_SIZE, rows: str | None = None) -> DataFrame:
+    """Adds `seq` (from 0, in id order), `batch_id` and `slot`; the last batch may be short.
+
+    With `rows` a column of that name tells the number of all rows.
+    """
+    placed = with_cut_position(df, name="_row")
+    kept = placed.withColumn("seq", F.col("_row") - 1).drop("_row")
+    return _cut(kept.withColumnRenamed("_rows", rows) if rows else kept.drop("_rows"), batch_size)
 
 
 def length_grouped_batches(
-    df: DataFrame, batch_size: int = BATCH_SIZE, seed: int | str = 0, length: str = "n_tokens"
+    df: DataFrame,
+    batch_size: int = BATCH_SIZE,
+    seed: int | str = 0,
+    length: str = "n_tokens",
+    epochs: int | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Adds `seq`, `batch_id` and `slot` so that rows of like length share a batch.
 
     The rows are shuffled by seed, cut into megabatches of up to 50 batches, and sorted
     inside each by falling length, ties in shuffled order. Then the longest row of all and
     the first row change places, so that the largest batch comes first.
+
+    With `epochs` every row comes once per epoch (column `epoch`), each epoch in an order of its own; one plan
+    places all of them. With `rows` a column of that name tells the number of rows of an epoch.
     """
-    placed = with_shuffled_position(df, seed, name="_row")
-    first_longest = F.min(F.struct((-F.col(length)).alias("minus_length"), "_row"))
-    summary = placed.agg(
-        F.struct(F.count(F.lit(1)).alias("rows"), first_longest.alias("longest"))
-    ).scalar()
-
-    rows, longest_row = F.col("_all.rows"), F.col("_all.longest._row")
-    batches = F.greatest(F.lit(1), F.least(whole_div(rows, 4 * batch_size), F.lit(MEGABATCH_LIMIT)))
+    placed = with_shuffled_position(df, seed, name="_row", epochs=epochs)
+    key = [] if epochs is None else ["epoch"]
+    # A row per epoch.
+    longest = placed.groupBy(*key).agg(F.min(F.struct((-F.col(length)).alias("minus_length"), "_row"))["_row"].alias("row"))
+    longest = longest.agg(F.transform(F.sort_array(F.collect_list(F.struct(*key, "row"))), lambda e: e["row"])).scalar()
+
+    batches = F.greatest(F.lit(1), F.least(whole_div(F.col("_rows"), 4 * batch_size), F.lit(MEGABATCH_LIMIT)))
     mega_size = F.col("_mega_size")
-    sized = (
-        placed.withColumn("_all", summary)
-        .withColumn("_mega_size", batches * batch_size)
-        .withColumn("_mega", whole_div(F.col("_row") - 1, mega_size))
-    )
-    by_length = Window.partitionBy("_mega").orderBy(F.desc(length), F.asc("_row"))
+    sized = placed.withColumn("_mega_size", batches * batch_size).withColumn("_mega", whole_div(F.col("_row") - 1, mega_size))
+    by_length = Window.partitionBy(*key, "_mega").orderBy(F.desc(length), F.asc("_row"))
     seq = F.col("_mega") * mega_size + F.row_number().over(by_length) - 1
     # The longest row heads its megabatch.
+    longest_row = F.get(F.col("_longest"), F.col("epoch") if key else F.lit(0))
     longest_seq = whole_div(longest_row - 1, mega_size) * mega_size
     swapped = (
         F.when(F.col("_row") == longest_row, F.lit(0))
         .when(F.col("_seq") == 0, longest_seq)
         .otherwise(F.col("_seq"))
     )
+    told = [F.col("_rows").alias(rows)] if rows else []
     return _cut(
         sized.withColumn("_seq", seq)
-        .withColumn("seq", swapped.cast("bigint"))
-        .drop("_row", "_all", "_mega_size", "_mega", "_seq"),
+        .withColumn("_longest", longest)
+        .select(*df.columns, *key, swapped.cast("bigint").alias("seq"), *told),
         batch_size,
     )
 
@@ -86,10 +95,12 @@ def shard_batches(
     """Batch b goes to rank b % W as its step b div W, the same number of steps for all.
 
     Where the rows do not fill the last round of batches, it goes on with rows from the
-    start, over again if need be. `rows` is their number, where a cheaper table than `df` has it.
+    start, over again if need be. `rows` is their number (of one epoch, with a column `epoch`), where it is known
+    without another look at `df`.
     """
     if rows is None:
-        rows = df.agg(F.count(F.lit(1))).scalar()
+        epochs = F.count_distinct("epoch") if "epoch" in df.columns else F.lit(1)
+        rows = df.agg((F.count(F.lit(1)) / epochs).cast("bigint")).scalar()
     round_size = batch_size * world_size
     return (
         _cut(
@@ -129,8 +140,9 @@ def micro_to_optimizer_step(step: Column, accumulation: int) -> Column:
 
 
 def batch_max_length(df: DataFrame, length: str = "n_tokens") -> DataFrame:
-    """Adds `batch_length`, the longest row of the batch."""
-    return df.withColumn("batch_length", F.max(length).over(Window.partitionBy("batch_id")))
+    """Adds `batch_length`, the longest row of the batch; batches of an epoch are its own."""
+    key = ["epoch", "batch_id"] if "epoch" in df.columns else ["batch_id"]
+    return df.withColumn("batch_length", F.max(length).over(Window.partitionBy(*key)))
 
 
 def attach_tokens(assigned: DataFrame, tokens: DataFrame) -> DataFrame:

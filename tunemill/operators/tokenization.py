@@ -12,7 +12,6 @@ from tunemill.functions.tokens import (
     FIRST_TOKEN_ID,
     MAX_LENGTH,
     UNK_ID,
-    attention_mask,
     split_tokens,
 )
 
@@ -70,18 +69,22 @@ def tokenize(
     if max_length is not None:
         # Cutting before the lookup gives the same ids with less to look up.
         tokens = F.slice(tokens, 1, max_length - int(add_bos))
+    cut = df.withColumn("_tokens", tokens)
+    # Told by the tokens, so that nothing is looked up where only lengths or masks are wanted.
+    cut = cut.withColumn("_n", F.size("_tokens") + int(add_bos))
     if joined:
-        encoded = _encode_by_join(df, tokens, vocabulary, id_column)
+        encoded = _encode_by_join(cut, F.col("_tokens"), vocabulary, id_column)
     else:
-        encoded = _encode_inline(df, tokens, vocabulary)
+        encoded = _encode_inline(cut, F.col("_tokens"), vocabulary)
     ids = F.col("_ids")
     if add_bos:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
+    n_tokens = F.col("_n")
     return (
         encoded.withColumn("input_ids", ids)
-        .drop("_ids")
-        .withColumn("attention_mask", attention_mask(F.col("input_ids")))
-        .withColumn("n_tokens", F.size("input_ids"))
+        .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("tinyint"), n_tokens))
+        .withColumn("n_tokens", n_tokens)
+        .drop("_ids", "_tokens", "_n")
     )
 
 

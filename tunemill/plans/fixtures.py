@@ -125,8 +125,8 @@ def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def launches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth run as a launch of its own."""
-    return runs(spark, sf_dir).where("rank = 1").withColumnRenamed("run_id", "launch_id")
+    """Every run as a launch of its own."""
+    return runs(spark, sf_dir).withColumnRenamed("run_id", "launch_id")
 
 
 def models(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,31 @@ _PARTS = {
                               lambda x: CASE WHEN x = 2 THEN -100 ELSE x END) AS labels
         FROM (SELECT d.rank, d.step, d.slot, t.*, MAX(t.n_tokens) OVER (PARTITION BY d.batch_id) AS longest
               FROM grouped_dealt d JOIN tokens t ON d.id = t.id)""",
+    # The same over two epochs, each shuffled by a seed of its own.
+    "epoch_shuffled": """
+        SELECT id, n_tokens, e AS epoch, COUNT(*) OVER (PARTITION BY e) AS n,
+               ROW_NUMBER() OVER (PARTITION BY e ORDER BY md5('7:' || CAST(e AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) AS rn
+        FROM lengths CROSS JOIN range(2) AS epochs(e)""",
+    "epoch_mega": """
+        SELECT *, greatest(1, least(n // 16, 50)) * 4 AS m, (rn - 1) // m AS mb
+        FROM epoch_shuffled""",
+    "epoch_sorted": """
+        SELECT epoch, id, n_tokens, rn, n,
+               mb * m + ROW_NUMBER() OVER (PARTITION BY epoch, mb ORDER BY n_tokens DESC, rn) - 1 AS old_seq,
+               ROW_NUMBER() OVER (PARTITION BY epoch ORDER BY n_tokens DESC, rn) = 1 AS longest
+        FROM epoch_mega""",
+    "epoch_grouped": """
+        SELECT g.epoch, g.id, g.n, CASE WHEN g.longest THEN 0 WHEN g.old_seq = 0 THEN l.old_seq ELSE g.old_seq END AS seq
+        FROM epoch_sorted g JOIN epoch_sorted l ON l.epoch = g.epoch AND l.longest""",
+    "epoch_dealt": """
+        SELECT epoch, CAST((v // 4) % 4 AS INT) AS rank, v // 16 AS step, CAST(v % 4 AS INT) AS slot, id, v // 4 AS batch_id
+        FROM (SELECT COUNT(*) AS n FROM lengths) AS c, range(0, ((c.n + 15) // 16) * 16) AS r(v)
+        JOIN epoch_grouped ON epoch_grouped.seq = r.v % c.n""",
+    "epoch_trainer": """
+        SELECT epoch, rank, step, slot, id, list_resize(input_ids, longest, 2) AS input_ids,
+               list_transform(list_resize(input_ids, longest, 2), lambda x: CASE WHEN x = 2 THEN -100 ELSE x END) AS labels
+        FROM (SELECT d.epoch, d.rank, d.step, d.slot, t.*, MAX(t.n_tokens) OVER (PARTITION BY d.epoch, d.batch_id) AS longest
+              FROM epoch_dealt d JOIN tokens t ON d.id = t.id)""",
     "metrics": """
         SELECT run_id, rank, key, value, global_step,
                CAST((global_step - 1) // 20 AS INT) AS epoch, (global_step - 1) % 20 AS step
@@ -390,6 +415,10 @@ ORACLES: dict[str, str] = {
         {_text('labels')} FROM trainer""",
         _TRAINER,
     ),
+    "trainer_epochs": _sql(
+        f"SELECT CAST(epoch AS INT) AS epoch, rank, step, slot, id, {_text('input_ids')}, {_text('labels')} FROM epoch_trainer",
+        f"{_TOKENS} lengths epoch_shuffled epoch_mega epoch_sorted epoch_grouped epoch_dealt epoch_trainer",
+    ),
     "token_loss_mask": _sql(
         """SELECT l.batch_id, l.slot, l.id, CAST(COUNT(p.next) AS INT) AS n_scored,
         coalesce(string_agg(CAST(p.next AS VARCHAR), ' ' ORDER BY p.i), '') AS scored
@@ -471,7 +500,7 @@ ORACLES: dict[str, str] = {
         """SELECT run_id AS launch_id, CAST(r AS INT) AS rank,
         CASE WHEN r = 0 THEN run_name ELSE run_name || '_rank_' || CAST(r AS VARCHAR) END AS run_name,
         CASE WHEN nodes > 1 THEN parent_run_id END AS parent_run_id
-        FROM runs, range(0, gpus * nodes) AS ranks(r) WHERE rank = 1""",
+        FROM runs, range(0, gpus * nodes) AS ranks(r)""",
         "runs",
     ),
     "run_tree": _sql(

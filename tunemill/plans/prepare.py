@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,13 +48,15 @@ def manual_batches(tokens: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame
 
 
 def trainer_batches(
-    tokens: DataFrame, world_size: int, batch_size: int = BATCH_SIZE, seed: int | str = 0
+    tokens: DataFrame, world_size: int, batch_size: int = BATCH_SIZE, seed: int | str = 0, epochs: int | None = None
 ) -> DataFrame:
-    """Length-grouped batches dealt out to ranks, padded and labelled: what a trainer reads."""
-    grouped = length_grouped_batches(tokens.select("id", "n_tokens"), batch_size, seed)
-    # The number of rows comes from the stored table, not from the placement of all of them.
-    rows = tokens.agg(F.count(F.lit(1))).scalar()
-    dealt = shard_batches(grouped, world_size, batch_size, rows)
+    """Length-grouped batches dealt out to ranks, padded and labelled: what a trainer reads.
+
+    With `epochs` those of several epochs, each in an order of its own (column `epoch`). The epochs are part of one
+    plan: its shuffles are as many as for one epoch, and token arrays are joined to (epoch, id) once, at the end.
+    """
+    grouped = length_grouped_batches(tokens.select("id", "n_tokens"), batch_size, seed, epochs=epochs, rows="_rows")
+    dealt = shard_batches(grouped, world_size, batch_size, F.col("_rows"))
     return collate(attach_tokens(batch_max_length(dealt), tokens))
 
 
@@ -67,13 +67,5 @@ def trainer_epochs(
     batch_size: int = BATCH_SIZE,
     seed: int | str = 0,
 ) -> DataFrame:
-    """`trainer_batches` of several epochs, each in an order of its own."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            trainer_batches(tokens, world_size, batch_size, f"{seed}:{epoch}").withColumn(
-                "epoch", F.lit(epoch)
-            )
-            for epoch in range(epochs)
-        ],
-    )
+    """`trainer_batches` of several epochs."""
+    return trainer_batches(tokens, world_size, batch_size, seed, epochs)

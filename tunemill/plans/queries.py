@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tunemill.functions import configs as cf
 from tunemill.functions import schedules
+from tunemill.functions.integers import ceil_div
 from tunemill.functions.labels import IGNORED_LABEL
 from tunemill.functions.labels import causal_labels as causal
 from tunemill.functions.tokens import EOS_ID
@@ -76,8 +77,10 @@ def document_tokens(
 
 
 def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in id order, dealt out; `n_rows` tells the number of all rows."""
     ids = fx.instructions(spark, sf_dir).select("id")
-    return batching.shard_batches(batching.sequential_batches(ids), WORLD_SIZE)
+    assigned = batching.sequential_batches(ids, rows="n_rows")
+    return batching.shard_batches(assigned, WORLD_SIZE, rows=F.col("n_rows"))
 
 
 def run_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +314,8 @@ def epoch_replay(spark, sf_dir):
 
 @query
 def global_step(spark, sf_dir):
-    replayed = batching.with_global_step(batching.epoch_replay(dealt(spark, sf_dir)))
+    steps = ceil_div(F.col("n_rows"), batching.BATCH_SIZE * WORLD_SIZE)
+    replayed = batching.with_global_step(batching.epoch_replay(dealt(spark, sf_dir)), steps)
     return replayed.select("epoch", "rank", "step", "slot", "id", "global_step")
 
 
@@ -329,6 +333,14 @@ def training_batches(spark, sf_dir):
     )
 
 
+@query
+def trainer_epochs(spark, sf_dir):
+    batches = prepare.trainer_epochs(stored_tokens(spark, sf_dir), WORLD_SIZE, seed=SEED)
+    return batches.select(
+        "epoch", "rank", "step", "slot", "id", shown("input_ids").alias("input_ids"), shown("labels").alias("labels")
+    )
+
+
 # Loss, schedules and plans
 
 
