@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tunemill.operators import batching, positions
 from tunemill.plans import prepare
 from tunemill.plans.queries import QUERIES
+from tunemill.sources import sinks
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "subword_tokenize", "subword_decode", "collate_batches", "run_on_ranks"}
+WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "subword_tokenize", "subword_decode", "collate_batches", "pack_batches", "run_on_ranks"}
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -117,3 +118,27 @@ def test_scans_read_only_what_is_asked(spark):
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and not any("text" in s for s in schemas)
     assert "EqualTo(role,user)" in plan and "EqualTo(role,assistant)" in plan
+
+
+def test_batches_that_are_kept_together_are_collated_without_a_shuffle(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("collate_batches", "pack_batches"):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_a_second_append_reads_its_runs_buckets_only(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    path = str(tmp_path / "metrics")
+    columns = ["CAST(id % 200 AS BIGINT) AS run_id", "0 AS rank", "0 AS epoch", "id AS step", "id AS global_step", "'loss' AS key", "1D AS value"]
+    rows = spark.range(2000).selectExpr(*columns)
+    sinks.append_metrics(rows, path)
+    again = rows.where("run_id IN (3, 4)")
+    left = sinks.missing_rows(again, path, sinks.METRIC_KEY)
+    buckets = {r[0] for r in sinks._with_bucket(again).select(sinks.RUN_BUCKET).distinct().collect()}
+    assert left.count() == 0 and len(buckets) <= 2
+    held = sinks.held_rows(sinks._with_bucket(again), path)
+    read = {r[0] for r in held.select(F.input_file_name()).distinct().collect()}
+    assert {f"{sinks.RUN_BUCKET}={b}" for b in buckets} == {f.split("/")[-2] for f in read}
+    filters = re.search(r"PartitionFilters: \[([^\]]*)", plan_of(held)).group(1)
+    assert sinks.RUN_BUCKET in filters

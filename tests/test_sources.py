@@ -3,6 +3,7 @@ from conftest import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tunemill.operators import batching
 from tunemill.session import scratch_path
 from tunemill.sources import files, instructions, sinks
 
@@ -122,3 +123,54 @@ def test_epochs_are_not_mixed(spark, tmp_path):
 
 def test_scratch_folder_comes_from_the_session(spark, conf):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+METRICS = "run_id bigint, rank int, epoch int, step bigint, global_step bigint, key string, value double"
+
+
+def table_at(spark, path):
+    return sorted((tuple(r) for r in spark.read.parquet(path).select(*sinks.METRIC_COLUMNS).collect()), key=repr)
+
+
+def test_metrics_written_twice_are_there_once(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    rows = [(run, 0, 0, s, s + 1, "loss", float(s)) for run in (1, 2, None) for s in range(3)]
+    df = spark.createDataFrame(rows, METRICS)
+    sinks.append_metrics(df.where("step < 2"), path)
+    sinks.append_metrics(df.withColumn("value", F.lit(9.0)).union(df), path)
+    found = table_at(spark, path)
+    # What is held stays; of new rows with one name one is taken.
+    assert [r[:6] for r in found] == sorted([r[:6] for r in rows], key=repr)
+    assert all(r[6] == r[3] for r in found if r[3] < 2)
+    sinks.append_metrics(df, path)
+    assert table_at(spark, path) == found
+
+
+def test_upserted_metrics_replace_what_is_held(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    rows = [(run, 0, 0, s, s + 1, "loss", float(s)) for run in range(40) for s in range(3)] + [(None, 0, 0, 0, 1, "loss", 5.0)]
+    df = spark.createDataFrame(rows, METRICS)
+    sinks.upsert_metrics(df, path)
+    files = {f for f in spark.read.parquet(path).inputFiles()}
+    changed = df.where("run_id = 7 AND step > 0 OR run_id IS NULL").withColumn("value", F.lit(-1.0))
+    added = spark.createDataFrame([(7, 0, 0, 3, 4, "loss", 3.0), (7, 0, 0, 3, 4, "loss", 3.0)], METRICS)
+    for _ in range(2):
+        sinks.upsert_metrics(changed.union(added), path)
+    expected = [(*r[:6], -1.0) if r[0] is None or (r[0] == 7 and r[3] > 0) else r for r in rows] + [(7, 0, 0, 3, 4, "loss", 3.0)]
+    assert table_at(spark, path) == sorted(expected, key=repr)
+    some = sinks.read_metrics(spark, path, [7, 8])
+    assert sorted(map(tuple, some.collect())) == sorted(r for r in expected if r[0] in (7, 8))
+    # Buckets of other runs keep their files.
+    kept = files & set(spark.read.parquet(path).inputFiles())
+    assert len(files) - 2 <= len(kept) < len(files)
+
+
+def test_clustered_batches_hold_batches_whole(spark, tmp_path):
+    df = batching.sequential_batches(spark.range(100).withColumn("n_tokens", F.lit(1)))
+    sinks.write_clustered(df, "clustered_test", str(tmp_path / "clustered"), buckets=4)
+    table = sinks.read_clustered(spark, "clustered_test")
+    assert sorted(table.select(*df.columns).collect()) == sorted(df.collect())
+    for file in (tmp_path / "clustered").glob("*.parquet"):
+        order = [(r["batch_id"], r["slot"]) for r in spark.read.parquet(str(file)).collect()]
+        assert order == sorted(order)
+    spark.sql("DROP TABLE clustered_test")

@@ -87,3 +87,17 @@ def test_tokenizer_contract(spark):
     df = spark.createDataFrame([(1, None), (2, "a" * 600)], "id bigint, text string")
     rows = user_functions.tokenize_with(df, lambda: lambda texts: [list(t.encode()) for t in texts]).orderBy("id").collect()
     assert [(r["n_tokens"], len(r["input_ids"]), len(r["attention_mask"])) for r in rows] == [(0, 0, 0), (512, 512, 512)]
+
+
+def test_rows_are_packed_by_first_fit():
+    import pandas as pd
+
+    batch = pd.DataFrame({"batch_id": [5] * 5, "input_ids": [[1] * 4, [2] * 6, [3] * 2, [4] * 5, [5]]})
+    packs = user_functions.packed_rows(batch, pad_id=9)
+    assert packs["input_ids"].tolist() == [[1] * 4 + [3] * 2, [2] * 6, [4] * 5 + [5]]
+    assert packs["segments"].tolist() == [[0] * 4 + [1] * 2, [0] * 6, [0] * 5 + [1]]
+    wide = user_functions.packed_rows(batch, capacity=8, pad_id=9)
+    assert wide["input_ids"].tolist() == [[1] * 4 + [3] * 2 + [5] + [9], [2] * 6 + [9] * 2, [4] * 5 + [9] * 3]
+    small = user_functions.packed_rows(batch, capacity=3)
+    assert [len(ids) for ids in small["input_ids"]] == [6] * 4
+    assert small["pack"].tolist() == [0, 1, 2, 3] and set(small["batch_id"]) == {5}

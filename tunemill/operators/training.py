@@ -70,7 +70,7 @@ def loss_record(losses: DataFrame, run_id: Column | int, rank: Column | int = 0,
 
     logged = F.array(
         F.struct(F.lit(TRAIN_LOSS).alias("key"), F.col("train_loss").cast("double").alias("value")),
-        F.struct(F.lit("step").alias("key"), (F.col("step") + 1).cast("double").alias("value")),
+        F.struct(F.lit("step").alias("key"), F.col("step").cast("double").alias("value")),
     )
     return losses.select(
         column(run_id, "bigint").alias("run_id"),

@@ -223,6 +223,27 @@ def _token_parts(source: str) -> dict[str, str]:
     }
 
 
+# Rows of a batch packed by first fit, one row a round: `used` are the packs' lengths, `places` the packs taken.
+_PACK_PARTS = {
+    "batch_lists": """
+        SELECT batch_id, list(t.input_ids ORDER BY slot) AS lists, MAX(t.n_tokens) AS room
+        FROM sequential s JOIN tokens t ON s.id = t.id GROUP BY batch_id""",
+    "packing": """
+        SELECT batch_id, lists, room, 0 AS done, CAST([] AS BIGINT[]) AS used, CAST([] AS BIGINT[]) AS places FROM batch_lists
+        UNION ALL
+        SELECT batch_id, lists, room, done + 1,
+               CASE WHEN p IS NULL THEN list_append(used, n) ELSE list_transform(used, lambda u, i: CASE WHEN i = p THEN u + n ELSE u END) END,
+               list_append(places, coalesce(p, len(used) + 1))
+        FROM (SELECT *, len(lists[done + 1]) AS n,
+                     nullif(coalesce(list_position(list_transform(used, lambda u: u + len(lists[done + 1]) <= room), true), 0), 0) AS p
+              FROM packing WHERE done < len(lists))""",
+    "packs": """
+        SELECT batch_id, CAST(place - 1 AS INT) AS pack, room, list(ids ORDER BY nth) AS packed
+        FROM (SELECT batch_id, room, unnest(places) AS place, unnest(lists) AS ids, generate_subscripts(places, 1) AS nth
+              FROM packing WHERE done = len(lists))
+        GROUP BY batch_id, place, room""",
+}
+
 # Byte-pair coding of the prompts. The last blank of white space before a word belongs to that word, so
 # texts are cut there first; \s is spelled out, as here it knows ASCII only.
 _BLANK = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -259,19 +280,21 @@ _SUBWORD_PARTS = {
 
 
 def _sql(final: str, names: str = "", source: str = "prompts") -> str:
-    """`final` behind the parts in `names`; the words tokens and subwords stand for all their parts."""
+    """`final` behind the parts in `names`; the words tokens, subwords and packs stand for all their parts."""
     parts = []
     for name in names.split():
         if name == "tokens":
             parts += _token_parts(source).items()
         elif name == "subwords":
             parts += _SUBWORD_PARTS.items()
+        elif name == "packs":
+            parts += _PACK_PARTS.items()
         else:
             parts.append((name, _PARTS[name]))
     if not parts:
         return final
     listed = ",\n".join(f"{name} AS ({body})" for name, body in parts)
-    recursive = "RECURSIVE " if "subwords" in names.split() else ""
+    recursive = "RECURSIVE " if {"subwords", "packs"} & set(names.split()) else ""
     return f"WITH {recursive}{listed}\n{final}"
 
 
@@ -326,6 +349,11 @@ ORACLES: dict[str, str] = {
     "metrics_sink": _sql(
         "SELECT run_id, rank, epoch, step, global_step, key, value FROM metrics", "metrics"
     ),
+    "metrics_upsert": _sql(
+        """SELECT run_id, rank, epoch, step, global_step, key, CASE WHEN run_id % 2 = 0 THEN value ELSE -value END AS value
+        FROM metrics""",
+        "metrics",
+    ),
     "params_sink": _sql(
         """SELECT run_id, 'hf' AS source, key, value
         FROM runs CROSS JOIN trainer_values WHERE rank = 0
@@ -534,6 +562,12 @@ ORACLES: dict[str, str] = {
     "collate_batches": _sql(
         f"SELECT batch_id, slot, id, {_text('input_ids')}, {_text('labels')} FROM labelled", _MANUAL
     ),
+    "pack_batches": _sql(
+        """SELECT batch_id, pack, array_to_string(list_resize(flatten(packed), room, 2), ' ') AS input_ids,
+        array_to_string(list_resize(flatten(list_transform(packed, lambda r, i: list_transform(r, lambda x: i - 1))), room, -1), ' ') AS segments
+        FROM packs""",
+        f"{_TOKENS} seq sequential packs",
+    ),
     "run_on_ranks": _sql(
         """SELECT rank, COUNT(*) AS rows, MAX(step) + 1 AS steps, CAST(SUM(n_tokens) AS BIGINT) AS tokens
         FROM (SELECT CAST((v // 4) % 2 AS INT) AS rank, v // 8 AS step, t.n_tokens

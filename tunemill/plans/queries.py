@@ -164,6 +164,16 @@ def metrics_sink(spark, sf_dir):
     return spark.read.parquet(path).select(*sinks.METRIC_COLUMNS)
 
 
+@query
+def metrics_upsert(spark, sf_dir):
+    path = scratch_path(spark, "metrics")
+    logged = fx.metrics(spark, sf_dir)
+    # First values that later turn out wrong; the second write replaces those of every other run.
+    sinks.upsert_metrics(logged.withColumn("value", -F.col("value")), path)
+    sinks.upsert_metrics(logged.where("run_id % 2 = 0"), path)
+    return spark.read.parquet(path).select(*sinks.METRIC_COLUMNS)
+
+
 @query
 def params_sink(spark, sf_dir):
     path = scratch_path(spark, "run_params")
@@ -519,6 +529,27 @@ def pluggable_tokenizer(spark, sf_dir):
     return batches.select("batch_id", "slot", "id", shown("input_ids").alias("input_ids"), shown("labels").alias("labels"))
 
 
+def clustered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches in id order, written as a table that is kept by batch."""
+    rows = stored_tokens(spark, sf_dir)
+    assigned = batching.sequential_batches(rows.select("id", "n_tokens"))
+    attached = batching.attach_tokens(assigned, rows).select("batch_id", "slot", "id", "input_ids")
+    path = scratch_path(spark, "clustered")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    sinks.write_clustered(attached, table, path, buckets=8)
+    return sinks.read_clustered(spark, table)
+
+
+@query
+def pack_batches(spark, sf_dir):
+    packed = user_functions.collate_batches(
+        clustered_batches(spark, sf_dir),
+        lambda batch: user_functions.packed_rows(batch, pad_id=EOS_ID),
+        "batch_id bigint, pack int, input_ids array<int>, segments array<int>",
+    )
+    return packed.select("batch_id", "pack", shown("input_ids").alias("input_ids"), shown("segments").alias("segments"))
+
+
 @query
 def collate_batches(spark, sf_dir):
     pad_id, ignored = EOS_ID, IGNORED_LABEL
@@ -529,11 +560,8 @@ def collate_batches(spark, sf_dir):
         batch["labels"] = [[ignored if i == pad_id else i for i in ids] for ids in batch["input_ids"]]
         return batch
 
-    rows = stored_tokens(spark, sf_dir)
-    assigned = batching.sequential_batches(rows.select("id", "n_tokens"))
-    attached = batching.attach_tokens(assigned, rows).select("batch_id", "slot", "id", "input_ids")
     collated = user_functions.collate_batches(
-        attached,
+        clustered_batches(spark, sf_dir),
         pad_and_label,
         "batch_id bigint, slot int, id bigint, input_ids array<int>, labels array<int>",
     )
