@@ -241,3 +241,20 @@ def test_proximity_matches(spark):
     assert [k for k in rows if rows[k]["near"]] == [1, 2, 6]
     assert [k for k in rows if rows[k]["items"]] == [6]
     assert rows[6]["spans"][0].asDict() == {"start": 0, "end": 3}
+
+
+def test_words_that_share_half_a_hash_are_different_words(spark):
+    # These two agree in the low 32 bits of their XXH64, and each occurs once.
+    docs = spark.createDataFrame([(1, "w43449"), (2, "w179392"), (3, "w43449 w179392 a b c"), (4, "w43449 a b c d")], "doc_id long, text string")
+    rows = {r["doc_id"]: r["n_removed"] for r in line_dedup.line_dedup(docs).collect()}
+    assert rows == {1: 0, 2: 0, 3: 0, 4: 0}
+
+
+def test_a_set_has_two_names(spark):
+    docs = spark.createDataFrame([(1, "b a a\nc"), (2, "a b")], "doc_id long, text string")
+    slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
+    bits, kind = line_dedup.line_keys(docs)
+    sets = line_dedup.described(line_dedup.token_sets(docs, slots, bits, kind)).collect()
+    named = {tuple(r[c] for c in line_dedup.IDENTITY) for r in sets}
+    assert len(sets) == 3 and len(named) == 2 and len({r["name"] for r in sets}) == 2
+    assert sorted(r["n"] for r in sets) == [1, 2, 2]

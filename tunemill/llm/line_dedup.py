@@ -6,7 +6,7 @@ document) matches it. Lines without words match nothing.
 
 1. Rarity. The occurrences of all words are counted in 2^20 slots, picked by the word's hash; a token's
    rarity is its slot's count, at least the true one. Any order of tokens gives exact results.
-2. Prefixes. Lines with equal sets are merged. The n - ceil(0.8 n) + 1 rarest tokens of a set are
+2. Prefixes. Lines with equal sets, by 128 bits of hashes, are merged. The n - ceil(0.8 n) + 1 rarest tokens of a set are
    listed; matching sets have a listed token in common.
 3. Filters, on pairs that meet in a token: length (5 * smaller >= 4 * larger), position (what is left of both
    lists behind the token must suffice) and sketch. A sketch is 64 bits, each the parity of the
@@ -60,40 +60,48 @@ def line_keys(docs: DataFrame) -> tuple[int, str]:
 
 
 def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataFrame:
-    """key, tokens (rarest first: slot count, then 32 bits of the hash) for each line with words."""
+    """key, tokens (64-bit hashes of the line's different words, rarest first) and name for each line with words.
+
+    `name` is a second hash of the whole set, by other hashes of its words: lines count as equal sets only if both agree, so
+    words that share the first hash don't make their lines equal.
+    """
     lines = docs.where("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     # Decided on the line: a condition on the tokens would be worked out apart from them, once more.
     lines = lines.where(F.col("line").rlike(WORD))
 
+    words = F.array_distinct(words_of(F.col("line")))
+
     def coded(table: Column) -> Column:
-        def code(word: Column) -> Column:
+        def ranked(word: Column) -> Column:
             h = F.xxhash64(word)
-            count = table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")]
-            return F.shiftleft(count.cast("bigint"), 32).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFFFF)))
+            return F.struct(table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")].alias("count"), h.alias("hash"))
 
-        return F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), code)))
+        return F.transform(F.sort_array(F.transform("words", ranked)), lambda word: word["hash"])
 
     key = _key(F.col("doc_id"), F.col("line_no"), bits, kind)
+    name = F.xxhash64(F.sort_array(F.transform("words", lambda word: F.xxhash64(F.lit("name"), word))))
+    cut = lines.select(key.alias("key"), words.alias("words"))
     # One select after the subquery column, so that the two merge and the array isn't copied into each row.
     return (
-        lines.withColumn("_slots", slots.scalar())
-        .select(key.alias("key"), F.transform(F.array("_slots"), coded)[0].alias("tokens"))
+        cut.withColumn("_slots", slots.scalar())
+        .select("key", F.transform(F.array("_slots"), coded)[0].alias("tokens"), name.alias("name"))
     )
 
 
 def described(sets: DataFrame) -> DataFrame:
-    """key, the set's identity (set_hash, sketch, n), and its prefix."""
+    """key, the set's identity (set_hash, name, sketch, n), and its prefix."""
     sketch = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, CAST(t & 63 AS INT)))")
     return sets.select(
         "key",
         F.xxhash64("tokens").alias("set_hash"),
+        "name",
         sketch.alias("sketch"),
         F.size("tokens").alias("n"),
         F.expr("slice(tokens, 1, size(tokens) - (4 * size(tokens) + 4) div 5 + 1)").alias("prefix"),
     )
 
 
-IDENTITY = ["set_hash", "sketch", "n"]
+IDENTITY = ["set_hash", "name", "sketch", "n"]
 
 
 def listed(sets: DataFrame, *carried: str) -> DataFrame:
