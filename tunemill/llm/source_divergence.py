@@ -36,8 +36,8 @@ from tunemill.llm.common import discard, encoded, in_slices, stored
 from tunemill.llm.line_dedup import bitmap, maybe_in
 
 LEAST, TOP, SMOOTH, UNIT = 30, 50, 5, 1_000_000_000
-#: Cells of a block's matrix, 8 bytes each.
-BLOCK_CELLS = 1 << 21
+#: Cells of a block's matrix, 8 bytes each; as many as pairs of sources at least, so that a block gives no more than it takes.
+BLOCK_CELLS = 1 << 15
 
 _LETTERS = bytes(
     byte if 0x61 <= byte <= 0x7A or byte >= 0x80 else byte + 32 if 0x41 <= byte <= 0x5A else 0x20 for byte in range(256)
@@ -176,8 +176,9 @@ def _compare(block: pa.Table) -> pa.Table:
 def pair_part(groups: DataFrame, found: DataFrame) -> DataFrame:
     """lang, source, item (each other source of the lang), value."""
     langs = groups.groupBy("lang").agg(F.count("*").alias("n_sources"), F.first("n_terms").alias("n_terms"))
-    # A block holds at most about BLOCK_CELLS numbers, and every language has one at least.
-    blocks = F.ceil(F.col("n_terms") * F.col("n_sources") / BLOCK_CELLS)
+    # Every language has one block at least.
+    cells = F.greatest(F.col("n_sources") * F.col("n_sources"), F.lit(BLOCK_CELLS))
+    blocks = F.ceil(F.col("n_terms") * F.col("n_sources") / cells)
     langs = langs.select("lang", F.greatest(blocks, F.lit(1)).cast("int").alias("blocks"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     absent = groups.join(langs, "lang").select(
