@@ -10,7 +10,7 @@ lists what a group uses more than its language.
 2. Digests. Occurrences and documents are summed by a 64-bit digest; the string column isn't read. Digests whose
    documents reach `least` are candidates: two terms of one digest can only make it larger, so none is missed.
 3. Collisions. Of the candidates alone, found by a bitmap, the smallest and the largest string per language and
-   digest are taken. Where they differ, the rows are counted again by digest and string. So the result is
+   digest are taken and stored. Where they differ, the rows are counted again by digest and string. So the result is
    exact whatever the digest (tests use one of few bits).
 4. Shares are compared in blocks of terms: a block is a matrix of (terms x sources) whole numbers, and gives one
    row per pair of sources. Blocks are cut by digest, so a frequent language makes more blocks, not larger ones.
@@ -36,6 +36,8 @@ from tunemill.llm.common import discard, encoded, in_slices, stored
 from tunemill.llm.line_dedup import bitmap, maybe_in
 
 LEAST, TOP, SMOOTH, UNIT = 30, 50, 5, 1_000_000_000
+#: Bytes of text that are counted together: the more, the fewer rows.
+COUNT_BYTES = 16_000_000
 #: Cells of a block's matrix, 8 bytes each; as many as pairs of sources at least, so that a block gives no more than it takes.
 BLOCK_CELLS = 1 << 15
 
@@ -91,7 +93,7 @@ def counted(docs: DataFrame, bits: int) -> DataFrame:
     """lang, source, digest, term, n, n_docs as the tasks count them; digest and term are null for a bare group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_slices(batches):
+        for part in in_slices(batches, limit=COUNT_BYTES):
             yield counted_slice(part)
 
     given = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
@@ -100,10 +102,11 @@ def counted(docs: DataFrame, bits: int) -> DataFrame:
     return rows.select("lang", "source", digest.alias("digest"), "term", "n", "n_docs")
 
 
-def kept_counts(rows: DataFrame, least: int) -> DataFrame:
-    """lang, source, digest, split, n of the kept terms, one row per term and source that has it. A stored table.
+def kept_counts(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """lang, source, digest, split, n of the kept terms, one row per term and source that has it; and lang, digest, term.
 
-    `split` is the term itself where its digest stands for several terms of the language, else empty.
+    `split` is the term itself where its digest stands for several terms of the language, else empty; then
+    the second table has the digest's only term. Both are stored.
     """
     sums = rows.where("digest IS NOT NULL").groupBy("lang", "source", "digest")
     sums = stored(sums.agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "digests")
@@ -112,8 +115,11 @@ def kept_counts(rows: DataFrame, least: int) -> DataFrame:
     wanted = stored(bitmap(frequent, "digest"), "bitmap")
     named = rows.where("digest IS NOT NULL").select("lang", "source", "digest", "term", "n", "n_docs")
     named = named.withColumn("_bits", wanted.scalar()).where(maybe_in(F.col("_bits"), F.col("digest"))).drop("_bits")
-    ends = named.groupBy("lang", "digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    clashes = stored(ends.where("low <> high").select("lang", "digest"), "clashes")
+    # Repeats go first, by hash; the smallest and the largest string of what is left take a sort.
+    ends = named.select("lang", "digest", "term").distinct().groupBy("lang", "digest")
+    names = stored(ends.agg(F.min("term").alias("term"), F.max("term").alias("high")), "names")
+    # Stored, so that Spark knows how few they are and sends them to the rows.
+    clashes = stored(names.where("term <> high").select("lang", "digest"), "clashes")
     key = ["lang", "digest"]
     plain = sums.join(frequent, key, "left_semi").join(clashes, key, "left_anti")
     again = named.join(clashes, key, "left_semi").groupBy("lang", "source", "digest", "term")
@@ -125,7 +131,7 @@ def kept_counts(rows: DataFrame, least: int) -> DataFrame:
     )
     kept = stored(kept, "kept")
     discard(sums, frequent, wanted, clashes)
-    return kept
+    return kept, names.select("lang", "digest", "term")
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -193,27 +199,24 @@ def pair_part(groups: DataFrame, found: DataFrame) -> DataFrame:
     return compared.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
-def term_part(rows: DataFrame, found: DataFrame, top: int) -> DataFrame:
+def term_part(names: DataFrame, found: DataFrame, top: int) -> DataFrame:
     """lang, source, item (a term used more than in the language), value, up to `top` a group and those that tie with the last."""
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     ranked = found.where("p > q").select("lang", "source", "digest", "split", (F.col("p") - F.col("q")).alias("value"))
-    ranked = stored(ranked.withColumn("_rank", F.rank().over(by_value)).where(F.col("_rank") <= top).drop("_rank"), "ranked")
-    wanted = stored(bitmap(ranked, "digest"), "bitmap")
-    # A digest that is not split stands for one term of its language.
-    named = rows.where("digest IS NOT NULL").select("lang", "digest", "term").withColumn("_bits", wanted.scalar())
-    named = named.where(maybe_in(F.col("_bits"), F.col("digest"))).groupBy("lang", "digest").agg(F.min("term").alias("term"))
-    late = ranked.join(named, ["lang", "digest"])
-    return late.select("lang", "source", F.when(F.col("split") == "", F.col("term")).otherwise(F.col("split")).alias("item"), "value")
+    ranked = ranked.withColumn("_rank", F.rank().over(by_value)).where(F.col("_rank") <= top)
+    late = ranked.join(names, ["lang", "digest"])
+    item = F.when(F.col("split") == "", F.col("term")).otherwise(F.col("split"))
+    return late.select("lang", "source", item.alias("item"), "value")
 
 
 def source_divergence(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = 64) -> DataFrame:
     """lang, source, part (`pair` or `term`), item, value, rank (from 1, by falling value, then by item)."""
     rows = stored(counted(docs, bits), "counted")
-    kept = kept_counts(rows, least)
+    kept, names = kept_counts(rows, least)
     groups, found = shares(rows, kept)
     found = stored(found, "shares")
     parts = pair_part(groups, found).withColumn("part", F.lit("pair")).unionByName(
-        term_part(rows, found, top).withColumn("part", F.lit("term"))
+        term_part(names, found, top).withColumn("part", F.lit("term"))
     )
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     ranked = parts.withColumn("rank", F.row_number().over(order)).where((F.col("part") == "pair") | (F.col("rank") <= top))
