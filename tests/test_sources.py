@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import plan_of
 from pyspark.errors import AnalysisException
@@ -174,3 +176,60 @@ def test_clustered_batches_hold_batches_whole(spark, tmp_path):
         order = [(r["batch_id"], r["slot"]) for r in spark.read.parquet(str(file)).collect()]
         assert order == sorted(order)
     spark.sql("DROP TABLE clustered_test")
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    sizes = {"a.txt": 3, "one/b.bin": 0, "one/two/c": 5, "one/two/three/d d.txt": 7, "other/e": 1}
+    for name, size in {**sizes, "_hidden": 2, ".dot/f": 2, "one/_SUCCESS": 0}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * size)
+    (tmp_path / "empty").mkdir()
+    for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        found = files.list_files(spark, root, tasks=3)
+        assert {r["target_path"].removeprefix(f"{tmp_path}/"): r["length"] for r in found.collect()} == sizes
+    assert files.list_files(spark, str(tmp_path / "empty")).count() == 0
+
+
+@pytest.fixture
+def source(spark, table, tmp_path):
+    path = str(tmp_path / "source")
+    table.write.parquet(path)
+    return path
+
+
+def builds(folder):
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
+def test_a_build_is_used_again_until_its_source_changes(spark, table, source, tmp_path):
+    folder = tmp_path / "builds"
+
+    def build(value=1):
+        return spark.read.parquet(source).where(F.col("id") > value - 1).withColumn("n", F.length("instruction"))
+
+    first = instructions.content_cached(build(), str(folder))
+    file = next((folder / builds(folder)[0]).glob("*.parquet"))
+    written = file.stat().st_mtime_ns
+    again = instructions.content_cached(build(), str(folder))
+    assert len(builds(folder)) == 1 and file.stat().st_mtime_ns == written
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, first.collect())) == sorted(map(tuple, build().collect()))
+    # Another constant in the plan, then another file in the source.
+    assert instructions.content_cached(build(2), str(folder)).count() == 2 and len(builds(folder)) == 2
+    table.write.mode("append").parquet(source)
+    assert instructions.content_cached(build(), str(folder)).count() == 6 and len(builds(folder)) == 3
+    assert first.count() == 3
+
+
+def test_two_writers_leave_one_build(spark, source, tmp_path):
+    folder = tmp_path / "builds"
+    with ThreadPoolExecutor(4) as pool:
+        tables = list(pool.map(lambda _: instructions.content_cached(spark.read.parquet(source), str(folder)), range(4)))
+    assert [t.count() for t in tables] == [3] * 4
+    assert len(builds(folder)) == 1
+    inside = sorted(p.name for p in (folder / builds(folder)[0]).iterdir() if p.is_dir())
+    assert inside == []
+
+
+def test_rows_of_no_file_have_no_content_key(spark, table, tmp_path):
+    with pytest.raises(ValueError, match="read from files"):
+        instructions.content_cached(table, str(tmp_path / "builds"))

@@ -330,6 +330,9 @@ _TRAIN_LOSS = """
 ORACLES: dict[str, str] = {
     "load_instructions": _sql("SELECT * FROM instructions WHERE split = 'train'", _INSTRUCTIONS),
     "cached_table": _sql("SELECT * FROM instructions", _INSTRUCTIONS),
+    "content_cache": _sql(
+        "SELECT *, 1 AS build FROM instructions WHERE split = 'train' UNION ALL SELECT *, 2 AS build FROM instructions", _INSTRUCTIONS
+    ),
     "split_filter": _sql("SELECT * FROM instructions WHERE split = 'test'", _INSTRUCTIONS),
     "load_config": _sql(
         """SELECT run_id, key, value FROM runs CROSS JOIN base_values
@@ -338,6 +341,11 @@ ORACLES: dict[str, str] = {
         "runs base_values",
     ),
     "file_manifest": _sql("SELECT lib, repo, name, target_path FROM manifest", "repo_files models manifest"),
+    "list_files": _sql(
+        """SELECT DISTINCT 'repo=' || repo || '/shard=' || CAST(length(name) % 4 AS VARCHAR) || '/' AS folder, true AS has_bytes
+        FROM repo_files WHERE present""",
+        "repo_files",
+    ),
     "pending_files": _sql(
         """SELECT DISTINCT lib, repo, name, target_path FROM manifest
         WHERE target_path NOT IN (SELECT target_path FROM manifest WHERE present)""",

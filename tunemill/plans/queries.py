@@ -114,6 +114,21 @@ def cached_table(spark, sf_dir):
     return instructions.cached_table(spark, path, build)
 
 
+@query
+def content_cache(spark, sf_dir):
+    source, folder = scratch_path(spark, "instructions"), scratch_path(spark, "builds")
+
+    def cached():
+        return instructions.content_cached(instructions.load_instructions(spark, source), folder)
+
+    rows = fx.instructions(spark, sf_dir)
+    rows.where("split = 'train'").write.parquet(source)
+    first = cached()
+    rows.where("split = 'test'").write.mode("append").parquet(source)
+    # The source has changed since, the first build hasn't.
+    return first.withColumn("build", F.lit(1)).union(cached().withColumn("build", F.lit(2)))
+
+
 @query
 def split_filter(spark, sf_dir):
     rows = instructions.load_instructions(spark, instructions_by_split(spark, sf_dir))
@@ -134,6 +149,16 @@ def file_manifest(spark, sf_dir):
     return files.file_manifest(fx.models(spark, sf_dir), fx.repo_files(spark, sf_dir), fx.MODEL_HOME)
 
 
+@query
+def list_files(spark, sf_dir):
+    root = scratch_path(spark, "repositories")
+    listed = fx.repo_files(spark, sf_dir).where("present").withColumn("shard", F.length("name") % 4)
+    listed.select("repo", "shard", "name").repartition(8, "repo").write.partitionBy("repo", "shard").parquet(root)
+    folder = F.regexp_extract("target_path", "repo=([^/]*)/shard=([0-9]*)/", 0)
+    found = files.list_files(spark, root).groupBy(folder.alias("folder")).agg(F.min("length").alias("least"))
+    return found.select("folder", (F.col("least") > 0).alias("has_bytes"))
+
+
 @query
 def pending_files(spark, sf_dir):
     listed = fx.repo_files(spark, sf_dir)
