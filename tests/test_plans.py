@@ -12,7 +12,7 @@ from tunemill.plans.queries import QUERIES
 from tunemill.sources import sinks
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "subword_tokenize", "subword_decode", "collate_batches", "pack_batches", "list_files", "run_on_ranks"}
+WITH_USER_CODE = {"map_rows", "pluggable_tokenizer", "subword_tokenize", "subword_decode", "collate_batches", "pack_batches", "list_files", "build_vocab_bounded", "run_on_ranks"}
 
 
 @pytest.mark.parametrize("name", QUERIES)

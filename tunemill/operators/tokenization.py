@@ -14,6 +14,7 @@ from tunemill.functions.tokens import (
     UNK_ID,
     split_tokens,
 )
+from tunemill.operators.heavy_hitters import most_frequent
 
 _TOKENS_PER_SLOT = 4
 _SALTS = 16
@@ -39,10 +40,20 @@ def build_vocab(texts: DataFrame, size: int, text: str = "text") -> Vocabulary:
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*ranked).limit(size)
+    return _numbered(counts.orderBy(F.desc("n"), F.asc("token")).limit(size), size)
+
+
+def build_vocab_bounded(texts: DataFrame, size: int, text: str = "text") -> Vocabulary:
+    """The same as `build_vocab`, by summaries of bounded size: for texts with very many different tokens.
+
+    Reads the texts twice, but shuffles a few times `size` tokens of each task at most (see heavy_hitters).
+    """
+    return _numbered(most_frequent(texts.select(split_tokens(F.col(text)).alias("tokens")), size), size)
+
+
+def _numbered(top: DataFrame, size: int) -> Vocabulary:
     # Only the `size` rows that are left go through this window.
-    token_id = F.row_number().over(Window.orderBy(*ranked)) + (FIRST_TOKEN_ID - 1)
+    token_id = F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token"))) + (FIRST_TOKEN_ID - 1)
     return Vocabulary(top.select("token", token_id.cast("int").alias("token_id")), size)
 
 

@@ -374,6 +374,9 @@ ORACLES: dict[str, str] = {
     ),
     "prompt_template": _sql("SELECT id, text FROM prompts", f"{_INSTRUCTIONS} prompts"),
     "build_vocab": _sql("SELECT token, token_id FROM vocabulary", "doc_texts tokens", "doc_texts"),
+    "build_vocab_bounded": _sql(
+        "SELECT token, token_id FROM vocabulary WHERE token_id < 303", "doc_texts tokens", "doc_texts"
+    ),
     "tokenize": _sql(
         "SELECT id, CAST(len(all_ids) AS INT) AS n_tokens, array_to_string(all_ids, ' ') AS input_ids FROM all_tokens",
         "doc_texts tokens",

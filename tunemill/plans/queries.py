@@ -27,6 +27,8 @@ from tunemill.sources import configs, files, instructions, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCAB_SIZE = 8000
+# So small that summaries are cut, and candidates counted again.
+BOUNDED_SIZE = 300
 WORLD_SIZE = 4
 SEED = 7
 ACCUMULATION = 2
@@ -222,6 +224,11 @@ def build_vocab(spark, sf_dir):
     return tokenization.build_vocab(document_texts(spark, sf_dir), VOCAB_SIZE).table
 
 
+@query
+def build_vocab_bounded(spark, sf_dir):
+    return tokenization.build_vocab_bounded(document_texts(spark, sf_dir), BOUNDED_SIZE).table
+
+
 @query
 def tokenize(spark, sf_dir):
     return document_tokens(spark, sf_dir, None).select(
