@@ -1,8 +1,10 @@
 import json
+from functools import reduce
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions import configs as cf
@@ -194,3 +196,27 @@ def test_repeated_parameters_are_conflicts(spark):
     rows = [(1, "hf", "bf16", "true"), (1, "hf", "bf16", "false"), (1, "ds_", "bf16.enabled", "true")]
     df = spark.createDataFrame(rows, "run_id int, source string, key string, value string")
     assert [r["trainer_value"] for r in tracking.config_conflicts(df).collect()] == ["false | true"]
+
+
+def test_leaves_at_any_depth(spark):
+    config = {"a": 1, "b": {"c": {"d": {"e": "x"}}, "f": [1, {"g": 2}], "h": {}}, "i.j": {"k.l": None}, "m": False}
+    df = configs.load_config(spark, config).withColumn("run_id", F.lit(1))
+    found = {r["key"]: r["value"] for r in tracking.config_leaves(df).collect()}
+    assert found == {"a": "1", "b.c.d.e": "x", "b.f": '[1,{"g":2}]', "b.h": "{}", "`i.j`.`k.l`": None, "m": "false"}
+    assert tracking.config_leaves(df.where("run_id = 2")).count() == 0
+
+
+def test_conflicts_at_any_depth_by_pairs_of_a_table(spark):
+    sides = {"hf": {"x": {"y": {"z": 1, "same": 2}}, "only": 1}, "ds_": {"p": {"q": {"z": 3, "same": 2.0}}}}
+    params = reduce(
+        DataFrame.union,
+        [
+            tracking.config_leaves(configs.load_config(spark, config).withColumn("run_id", F.lit(5)), source=source)
+            for source, config in sides.items()
+        ],
+    )
+    pairs = spark.createDataFrame(
+        [("x.y.z", "p.q.z"), ("x.y.z", "p.q.z"), ("x.y.same", "p.q.same"), ("only", "p.none")], "trainer_key string, engine_key string"
+    )
+    rows = {tuple(r[c] for c in ("run_id", "trainer_key", "engine_key", "trainer_value", "engine_value")) for r in tracking.config_conflicts(params, pairs).collect()}
+    assert rows == {(5, "x.y.z", "p.q.z", "1", "3"), (5, "only", "p.none", "1", None)}

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.session import scratch_path
+from tunemill.sources.tables import written
 
 #: Tokens in a summary for each one that is asked for, and how much larger the next try is.
 SLACK, GROWTH = 4, 8
@@ -60,18 +60,12 @@ def task_summaries(lists: DataFrame, tokens: str, capacity: int) -> DataFrame:
     return lists.select(tokens).mapInArrow(run, "token string, n long, error long")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def candidates(lists: DataFrame, size: int, tokens: str = "tokens", capacity: int | None = None) -> tuple[DataFrame, bool]:
     """(token, n) with all that can be among the `size` most frequent, and whether n is exact already. A stored table."""
     capacity = capacity or SLACK * size
     while True:
         sums = task_summaries(lists, tokens, capacity).groupBy("token").agg(F.sum("n").alias("n"), F.sum("error").alias("error"))
-        sums = _stored(sums, "summaries")
+        sums = written(sums, "summaries")
         error = sums.where("token IS NULL").agg(F.coalesce(F.sum("error"), F.lit(0))).first()[0]
         held = sums.where("token IS NOT NULL").select("token", "n")
         if error == 0:
@@ -79,7 +73,7 @@ def candidates(lists: DataFrame, size: int, tokens: str = "tokens", capacity: in
         # The size-th largest; none if the summaries hold fewer tokens.
         floor = held.orderBy(F.desc("n")).offset(size - 1).limit(1).first()
         if floor and error < floor["n"]:
-            return _stored(held.where(F.col("n") + F.lit(error) >= F.lit(floor["n"])), "candidates"), False
+            return written(held.where(F.col("n") + F.lit(error) >= F.lit(floor["n"])), "candidates"), False
         capacity *= GROWTH
 
 

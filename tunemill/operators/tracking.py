@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tunemill.functions import configs as cf
 from tunemill.functions.configs import config_leaf
 from tunemill.sources.configs import TRAINER_VALUES, ZERO_STAGES, config_literal, config_variants
 from tunemill.sources.sinks import explode_params
+from tunemill.sources.tables import written
 
 # Trainer keys and the engine keys that have to agree with them.
 KEY_PAIRS = [
@@ -132,16 +134,44 @@ def engine_params(runs: DataFrame, config: Column) -> DataFrame:
     return runs.select("run_id", F.inline(F.array(*leaves))).where(F.col("value").isNotNull())
 
 
-def config_conflicts(params: DataFrame) -> DataFrame:
+def config_leaves(runs: DataFrame, config: str = "config", source: str = ENGINE) -> DataFrame:
+    """(run_id, source, key, value): every value of a MAP<STRING, VARIANT>, at whatever depth, under its path with dots.
+
+    Sections are opened level by level until none is left, a level a written table. Lists and empty sections are
+    values; a JSON null is a NULL value. A name that holds a dot is put in backquotes.
+    """
+    spark = runs.sparkSession
+
+    def quoted(name: str) -> Column:
+        return F.when(F.contains(name, F.lit(".")), F.concat(F.lit("`"), name, F.lit("`"))).otherwise(F.col(name))
+
+    level = runs.select("run_id", F.explode(config).alias("name", "value")).select("run_id", quoted("name").alias("key"), "value")
+    values = []
+    while True:
+        # A section's schema reads OBJECT<...>, that of an empty one OBJECT<>.
+        shape = F.coalesce(F.schema_of_variant("value"), F.lit("VOID"))
+        opened = written(level.withColumn("is_section", shape.startswith("OBJECT<") & (shape != "OBJECT<>")), "config_level")
+        values.append(opened.where("NOT is_section").select("run_id", "key", F.col("value").cast("string").alias("value")))
+        sections = opened.where("is_section")
+        if sections.isEmpty():
+            break
+        inner = sections.alias("s").lateralJoin(spark.tvf.variant_explode(F.col("s.value").outer()).alias("i"))
+        inner = inner.select("s.run_id", F.col("s.key").alias("above"), F.col("i.key").alias("name"), F.col("i.value").alias("value"))
+        level = inner.select("run_id", F.concat("above", F.lit("."), quoted("name")).alias("key"), "value")
+    found = reduce(DataFrame.union, values)
+    return found.select("run_id", F.lit(source).alias("source"), "key", "value")
+
+
+def config_conflicts(params: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Parameters on which trainer and engine disagree, one row per run and key pair.
 
     `params` is (run_id, source, key, value). Numbers are compared as numbers, lists and sections
     by their values, everything else without regard to case. "auto" on either side agrees with
     anything; a key missing on one side does not. A key that a side holds with several values
-    is a conflict; they are shown with bars between.
+    is a conflict; they are shown with bars between. `pairs` is (trainer_key, engine_key), the fixed pairs by default.
     """
-    spark = params.sparkSession
-    pairs = key_pairs(spark)
+    # The fixed pairs are written out in the program; a table of pairs is joined as its size asks for.
+    pairs = F.broadcast(key_pairs(params.sparkSession)) if pairs is None else pairs.select("trainer_key", "engine_key").distinct()
     sides = pairs.select(F.lit(TRAINER).alias("source"), F.col("trainer_key").alias("key"), "*").union(
         pairs.select(F.lit(ENGINE).alias("source"), F.col("engine_key").alias("key"), "*")
     )
@@ -153,7 +183,7 @@ def config_conflicts(params: DataFrame) -> DataFrame:
         return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), " | "))
 
     both = (
-        params.join(F.broadcast(sides), ["source", "key"])
+        params.join(sides, ["source", "key"])
         .groupBy("run_id", "trainer_key", "engine_key")
         .agg(held(TRAINER).alias("_trainer"), held(ENGINE).alias("_engine"))
         .withColumn("trainer_value", shown("_trainer"))

@@ -152,6 +152,11 @@ _PARTS = {
         FROM runs r JOIN zero_values z ON r.stage = z.stage
         UNION ALL
         SELECT run_id, stage, rank, 'train_batch_size', CAST(gpus * nodes * 4 AS VARCHAR) FROM runs""",
+    # One number is shown in another notation here.
+    "leaves": """
+        SELECT run_id, stage, run_configs.key || substr(t.fullkey, 2) AS key, CASE WHEN t.type = 'ARRAY' THEN CAST(t.value AS VARCHAR) ELSE replace(t.value ->> '$', '1e-8', '1.0E-8') END AS value
+        FROM run_configs, json_tree(CAST(run_configs.value AS JSON)) AS t
+        WHERE t.type <> 'OBJECT' AND t.fullkey NOT LIKE '%[%'""",
     # The trainer's arguments as they are shown.
     "trainer_values": """
         SELECT * FROM (VALUES
@@ -558,6 +563,19 @@ ORACLES: dict[str, str] = {
                    ELSE replace(lower(trainer_value), ' ', '') <> replace(lower(engine_value), ' ', '') END""",
         "runs key_pairs param_pairs",
     ),
+    "config_leaves": _sql("SELECT run_id, key, value FROM leaves", f"{_RUN_CONFIGS} leaves"),
+    "deep_conflicts": _sql(
+        """SELECT run_id, key AS trainer_key, any_value(value) FILTER (side = 'other') AS trainer_value,
+        any_value(value) FILTER (side = 'own') AS engine_value
+        FROM (SELECT 'own' AS side, run_id, key, value FROM leaves
+              UNION ALL
+              SELECT 'other', runs.run_id, o.key, CASE WHEN o.key = 'train_batch_size' THEN 'auto' ELSE o.value END
+              FROM runs, (SELECT DISTINCT ON (key) key, value FROM leaves WHERE stage = 'stage_3_offload') AS o)
+        GROUP BY run_id, key
+        HAVING coalesce(any_value(value) FILTER (side = 'other'), '') <> 'auto' AND coalesce(any_value(value) FILTER (side = 'own'), '') <> 'auto'
+           AND any_value(value) FILTER (side = 'other') IS DISTINCT FROM any_value(value) FILTER (side = 'own')""",
+        f"{_RUN_CONFIGS} leaves",
+    ),
     "map_rows": _sql("SELECT id, context, nfc_normalize(response) AS composed FROM instructions", _INSTRUCTIONS),
     "subword_tokenize": _sql(
         f"SELECT id, n_tokens, {_text('input_ids')} FROM tokens", f"{_INSTRUCTIONS} prompts subwords"

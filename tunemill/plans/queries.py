@@ -536,6 +536,21 @@ def config_conflicts(spark, sf_dir):
     return tracking.config_conflicts(fx.run_params(spark, sf_dir))
 
 
+@query
+def config_leaves(spark, sf_dir):
+    return tracking.config_leaves(run_configs(spark, sf_dir)).drop("source")
+
+
+@query
+def deep_conflicts(spark, sf_dir):
+    """Each run's configuration against the one that offloads, at every depth."""
+    mine = run_configs(spark, sf_dir)
+    other = tracking.select_variant(fx.runs(spark, sf_dir).withColumn("stage", F.lit("stage_3_offload")))
+    params = tracking.config_leaves(mine).union(tracking.config_leaves(other, source=tracking.TRAINER))
+    keys = params.select(F.col("key").alias("trainer_key"), F.col("key").alias("engine_key"))
+    return tracking.config_conflicts(params, keys).drop("engine_key")
+
+
 # User functions
 
 

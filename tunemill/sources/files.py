@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.session import scratch_path
+from tunemill.sources.tables import written
 
 
 def target_path(home: str, repo: Column, name: Column) -> Column:
@@ -36,10 +36,8 @@ def list_files(spark: SparkSession, root: str, tasks: int = 64) -> DataFrame:
     files = []
     while True:
         # By number and not by key, so that folders of one parent are spread as well.
-        found = folders.repartition(tasks).mapInArrow(_opened, "path string, is_folder boolean, length long")
-        path = scratch_path(spark, "listed")
-        found.write.parquet(path)
-        found = spark.read.schema(found.schema).parquet(path)
+        opened = folders.repartition(tasks).mapInArrow(_opened, "path string, is_folder boolean, length long")
+        found = written(opened, "listed")
         files.append(found.where("NOT is_folder"))
         folders = found.where("is_folder").select(F.col("path").alias("folder"))
         if folders.isEmpty():

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tunemill.session import scratch_path
 
 
 def file_system_path(spark: SparkSession, path: str):
@@ -10,3 +12,9 @@ def file_system_path(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
