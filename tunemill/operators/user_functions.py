@@ -1,6 +1,7 @@
 """User code on tables, where column expressions cannot say it.
 
-User functions travel with the job, so the executors need no copy of this package.
+User functions travel with the job, so the executors need no copy of this package; what they import, such as
+`packed_rows` here or a subword coder, they need there.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ from tunemill.sources.tables import file_system_path
 
 METRIC_COLUMNS = ["run_id", "rank", "epoch", "step", "global_step", "key", "value"]
 # Buckets of runs: what is written again concerns the buckets of its runs only.
-RUN_BUCKETS, RUN_BUCKET = 256, "run_bucket"
+RUN_BUCKETS, RUN_BUCKET = 64, "run_bucket"
 METRIC_KEY = ["run_id", "rank", "epoch", "global_step", "key"]
 PARAM_COLUMNS = ["run_id", "source", "key", "value"]
 PARAM_KEY = ["run_id", "source", "key"]
