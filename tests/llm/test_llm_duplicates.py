@@ -258,3 +258,10 @@ def test_a_set_has_two_names(spark):
     named = {tuple(r[c] for c in line_dedup.IDENTITY) for r in sets}
     assert len(sets) == 3 and len(named) == 2 and len({r["name"] for r in sets}) == 2
     assert sorted(r["n"] for r in sets) == [1, 2, 2]
+
+
+def test_slot_counts_are_not_copied_into_rows(spark):
+    docs = spark.createDataFrame([(1, "b a a\nc")], "doc_id long, text string")
+    slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
+    plan = line_dedup.described(line_dedup.token_sets(docs, slots, *line_dedup.line_keys(docs)))._jdf.queryExecution()
+    assert "AS _slots" not in plan.optimizedPlan().toString()

@@ -80,11 +80,11 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
 
     key = _key(F.col("doc_id"), F.col("line_no"), bits, kind)
     name = F.xxhash64(F.sort_array(F.transform("words", lambda word: F.xxhash64(F.lit("name"), word))))
-    cut = lines.select(key.alias("key"), words.alias("words"))
-    # One select after the subquery column, so that the two merge and the array isn't copied into each row.
+    cut = lines.select(key.alias("key"), words.alias("words")).select("key", "words", name.alias("name"))
+    # One select after the subquery column that uses `words` once, so that the two merge and the array isn't copied into each row.
     return (
         cut.withColumn("_slots", slots.scalar())
-        .select("key", F.transform(F.array("_slots"), coded)[0].alias("tokens"), name.alias("name"))
+        .select("key", F.transform(F.array("_slots"), coded)[0].alias("tokens"), "name")
     )
 
 
