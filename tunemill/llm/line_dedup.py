@@ -4,13 +4,15 @@ The tokens of a line are its different words. Two lines match if their token set
 similarity of 0.8 or more. A line is removed if a line before it (smaller doc_id, or higher up in the same
 document) matches it. Lines without words match nothing.
 
-1. Rarity. The occurrences of all words are counted in 2^20 slots, picked by the word's hash; a token's
-   rarity is its slot's count, at least the true one. Any order of tokens gives exact results.
-2. Prefixes. Lines with equal sets, by 128 bits of hashes, are merged. The n - ceil(0.8 n) + 1 rarest tokens of a set are
+1. Rarity. The occurrences of all words are counted in 2^20 slots, picked by the word's hash; a token is a
+   number made of its slot's class (eight classes for each doubling of the count) and 55 bits of its hash. Any
+   order of tokens gives exact results.
+2. Prefixes. Of lines with equal sets, by 128 bits of hashes, all but the first go; the first stands for them. The n - ceil(0.8 n) + 1 rarest tokens of a set are
    listed; matching sets have a listed token in common.
 3. Filters, on pairs that meet in a token: length (5 * smaller >= 4 * larger), position (what is left of both
-   lists behind the token must suffice) and sketch. A sketch is 64 bits, each the parity of the
-   tokens hashed to it: it differs in one bit at most for each token that only one set has.
+   lists behind the token must suffice) and sketch. A sketch is 128 bits, each the parity of the
+   tokens hashed to it: it differs in one bit at most for each token that only one set has. Sets of up to 48
+   tokens use 64 bits; the two halves of a longer sketch, combined by XOR, are its 64-bit sketch.
 4. Check. Pairs that are left are compared word by word. Only lines that occur in a pair travel: others are
    left out by a bitmap of 2^24 hashed keys, which may let through too many but never too few.
 
@@ -33,6 +35,10 @@ from tunemill.llm.common import SPACE, discard, stored
 WORD = r"[^\x20\x09-\x0D]"
 SLOT_BITS = 20
 BITMAP_BITS = 24
+HASH_BITS = 55
+#: Sets of more tokens than this use both halves of the sketch.
+SHORT = 48
+SKETCH = ["s0", "s1"]
 
 
 def words_of(text: Column) -> Column:
@@ -40,15 +46,15 @@ def words_of(text: Column) -> Column:
 
 
 def slot_counts(docs: DataFrame) -> DataFrame:
-    """One row, one column `slots`: occurrences of words by the first bits of their hash."""
+    """One row, one column `slots`: class of the occurrences of words, by the first bits of their hash, above HASH_BITS."""
     words = docs.select(F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
     slot = F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS)
     counts = words.groupBy(slot.alias("id")).agg(F.count("*").alias("n"))
     every = docs.sparkSession.range(1 << SLOT_BITS).join(counts, "id", "left")
     # A row per slot: at most 2^20, whatever the size of the corpus.
     ordered = F.sort_array(F.collect_list(F.struct("id", "n")))
-    count = F.transform(ordered, lambda s: F.least(F.coalesce(s["n"], F.lit(0)), F.lit((1 << 30) - 1)).cast("int"))
-    return every.agg(count.alias("slots"))
+    step = F.transform(ordered, lambda s: F.least(F.floor(8 * F.log2(1 + F.coalesce(s["n"], F.lit(0)))), F.lit(255)).cast("long"))
+    return every.agg(F.transform(step, lambda number: F.shiftleft(number, HASH_BITS)).alias("slots"))
 
 
 def line_keys(docs: DataFrame) -> tuple[int, str]:
@@ -60,10 +66,10 @@ def line_keys(docs: DataFrame) -> tuple[int, str]:
 
 
 def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataFrame:
-    """key, tokens (64-bit hashes of the line's different words, rarest first) and name for each line with words.
+    """key, tokens (numbers of the line's different words, rarest first) and name for each line with words.
 
-    `name` is a second hash of the whole set, by other hashes of its words: lines count as equal sets only if both agree, so
-    words that share the first hash don't make their lines equal.
+    `name` is a hash of the words themselves in order: lines count as equal sets only if it agrees too, so words that share
+    a token don't make their lines equal.
     """
     lines = docs.where("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     # Decided on the line: a condition on the tokens would be worked out apart from them, once more.
@@ -72,14 +78,14 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
     words = F.array_distinct(words_of(F.col("line")))
 
     def coded(table: Column) -> Column:
-        def ranked(word: Column) -> Column:
-            h = F.xxhash64(word)
-            return F.struct(table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")].alias("count"), h.alias("hash"))
+        def token(h: Column) -> Column:
+            step = F.coalesce(table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")], F.lit(0).cast("long"))
+            return step.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-        return F.transform(F.sort_array(F.transform("words", ranked)), lambda word: word["hash"])
+        return F.sort_array(F.transform(F.transform("words", lambda word: F.xxhash64(word)), token))
 
     key = _key(F.col("doc_id"), F.col("line_no"), bits, kind)
-    name = F.xxhash64(F.sort_array(F.transform("words", lambda word: F.xxhash64(F.lit("name"), word))))
+    name = F.xxhash64(F.lit("name"), F.sort_array("words"))
     cut = lines.select(key.alias("key"), words.alias("words")).select("key", "words", name.alias("name"))
     # One select after the subquery column that uses `words` once, so that the two merge and the array isn't copied into each row.
     return (
@@ -89,19 +95,25 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
 
 
 def described(sets: DataFrame) -> DataFrame:
-    """key, the set's identity (set_hash, name, sketch, n), and its prefix."""
-    sketch = F.expr("aggregate(tokens, 0L, (bits, t) -> bits ^ shiftleft(1L, CAST(t & 63 AS INT)))")
+    """key, the set's identity (set_hash, name, n), its sketch and its prefix."""
+
+    def half(number: int) -> Column:
+        bit = "shiftleft(1L, CAST(t & 63 AS INT))"
+        short = "0L" if number else f"aggregate(tokens, 0L, (bits, t) -> bits ^ {bit})"
+        long = f"aggregate(tokens, 0L, (bits, t) -> IF((t & 64) = {64 * number}, bits ^ {bit}, bits))"
+        return F.expr(f"IF(size(tokens) > {SHORT}, {long}, {short})")
+
     return sets.select(
         "key",
         F.xxhash64("tokens").alias("set_hash"),
         "name",
-        sketch.alias("sketch"),
         F.size("tokens").alias("n"),
+        *[half(number).alias(column) for number, column in enumerate(SKETCH)],
         F.expr("slice(tokens, 1, size(tokens) - (4 * size(tokens) + 4) div 5 + 1)").alias("prefix"),
     )
 
 
-IDENTITY = ["set_hash", "name", "sketch", "n"]
+IDENTITY = ["set_hash", "name", "n"]
 
 
 def listed(sets: DataFrame, *carried: str) -> DataFrame:
@@ -109,29 +121,30 @@ def listed(sets: DataFrame, *carried: str) -> DataFrame:
 
     Smaller sets match equal ones only.
     """
-    return sets.where("n > 3").select("key", "sketch", "n", *carried, F.posexplode("prefix").alias("pos", "token"))
+    return sets.where("n > 3").select("key", "n", *SKETCH, *carried, F.posexplode("prefix").alias("pos", "token"))
 
 
-def _may_match(x: str, y: str) -> Column:
-    """Whether `y` comes before `x` and passes the filters."""
+def _may_match(x: str, y: str, differing: str) -> Column:
+    """Whether `y` comes before `x` and passes the filters; `differing` counts the differing bits of their sketches."""
     common = f"((4 * ({x}.n + {y}.n) + 8) div 9)"
     return F.expr(
         f"{y}.key < {x}.key AND 5 * least({x}.n, {y}.n) >= 4 * greatest({x}.n, {y}.n)"
         f" AND least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {common}"
-        f" AND bit_count({x}.sketch ^ {y}.sketch) <= {x}.n + {y}.n - 2 * {common}"
+        f" AND {differing} <= {x}.n + {y}.n - 2 * {common}"
     )
 
 
 def first_partners(sets: DataFrame) -> DataFrame:
     """x, y: lines and the first line that has the same smallest or largest hash among the listed tokens."""
     hashes = F.transform("prefix", lambda token: F.xxhash64(token))
-    rows = sets.where("n > 3").select("key", "sketch", "n", F.lit(0).alias("pos"), hashes.alias("hashes"))
+    rows = sets.where("n > 3").select("key", "n", F.expr(" ^ ".join(SKETCH)).alias("bits"), F.lit(0).alias("pos"), hashes.alias("hashes"))
     ends = F.array(F.array_min("hashes"), F.array_max("hashes"))
-    rows = rows.select("key", "sketch", "n", "pos", F.explode(ends).alias("mark"))
+    rows = rows.select("key", "n", "bits", "pos", F.explode(ends).alias("mark"))
     first = rows.groupBy("mark").agg(
-        F.min("key").alias("key"), *[F.min_by(name, "key").alias(name) for name in ("sketch", "n", "pos")]
+        F.min("key").alias("key"), *[F.min_by(name, "key").alias(name) for name in ("n", "bits", "pos")]
     )
-    pairs = rows.alias("x").join(first.alias("y"), F.expr("x.mark = y.mark") & _may_match("x", "y"))
+    near = _may_match("x", "y", "bit_count(x.bits ^ y.bits)")
+    pairs = rows.alias("x").join(first.alias("y"), F.expr("x.mark = y.mark") & near)
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
@@ -140,7 +153,10 @@ def all_partners(entries: DataFrame) -> DataFrame:
 
     Both sides are the same table, so that Spark deals it out once.
     """
-    pairs = entries.alias("x").join(entries.alias("y"), F.expr("x.token = y.token AND x.open") & _may_match("x", "y"))
+    whole = " + ".join(f"bit_count(x.{half} ^ y.{half})" for half in SKETCH)
+    folded = " ^ ".join(f"{side}.{half}" for side in ("x", "y") for half in SKETCH)
+    near = _may_match("x", "y", f"IF(least(x.n, y.n) > {SHORT}, {whole}, bit_count({folded}))")
+    pairs = entries.alias("x").join(entries.alias("y"), F.expr("x.token = y.token AND x.open") & near)
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
@@ -198,24 +214,41 @@ def matching(pairs: DataFrame, docs: DataFrame, bits: int, kind: str) -> DataFra
     return found
 
 
+def repeats(lines: DataFrame) -> DataFrame:
+    """key of the lines whose set of words an earlier line has. A stored table."""
+    groups = lines.groupBy(*IDENTITY).agg(F.min("key").alias("first_key"), F.count("*").alias("times"))
+    several = stored(groups.where("times > 1").drop("times"), "several")
+    bits = stored(bitmap(several, "set_hash"), "bitmap")
+    # Lines of sets that occur once, as the bitmap shows, don't travel.
+    there = lines.select("key", *IDENTITY).withColumn("_bits", bits.scalar()).where(maybe_in(F.col("_bits"), F.col("set_hash")))
+    later = stored(there.drop("_bits").join(several, IDENTITY).where("key > first_key").select("key"), "repeats")
+    discard(several, bits)
+    return later
+
+
+def without(lines: DataFrame, keys: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows of `lines` whose key isn't in `keys`; those that the bitmap of the keys lacks don't travel."""
+    marked = lines.withColumn("_bits", bits.scalar()).withColumn("_maybe", maybe_in(F.col("_bits"), F.col("key"))).drop("_bits")
+    rest = marked.where("_maybe").join(keys, "key", "left_anti")
+    return marked.where("NOT _maybe").unionByName(rest).drop("_maybe")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, removed (numbers of the lines that go, from 0) of the documents that lose some. A stored table."""
     bits, kind = line_keys(docs)
     slots = stored(slot_counts(docs), "slots")
     lines = stored(described(token_sets(docs, slots, bits, kind)), "lines")
-    first = lines.groupBy(*IDENTITY).agg(F.min("key").alias("key"), F.min_by("prefix", "key").alias("prefix"))
-    sets = stored(first, "sets")
+    later = repeats(lines)
+    seen = stored(bitmap(later, "key"), "bitmap")
+    sets = without(lines, later, seen)
     early = matching(first_partners(sets), docs, bits, kind)
     flagged = sets.join(early.select(F.col("x").alias("key"), F.lit(True).alias("settled")), "key", "left")
     late = matching(all_partners(listed(flagged.withColumn("open", F.col("settled").isNull()), "open")), docs, bits, kind)
-    gone_sets = sets.select("key", *IDENTITY).join(
-        early.union(late).distinct().select(F.col("x").alias("key"), F.lit(True).alias("late")), "key", "left"
-    )
-    verdict = gone_sets.withColumnRenamed("key", "first_key")
-    gone = lines.select("key", *IDENTITY).join(verdict, IDENTITY).where(F.col("late") | (F.col("key") > F.col("first_key")))
+    # A line that repeats an earlier one goes anyway, so what goes of a set is known without its other lines.
+    gone = later.union(early).union(late)
     doc_id, line_no = _place(bits, kind)
     removed = stored(gone.groupBy(doc_id.alias("doc_id")).agg(F.collect_set(line_no).alias("removed")), "removed")
-    discard(slots, lines, sets, early, late)
+    discard(slots, lines, later, seen, early, late)
     return removed
 
 
