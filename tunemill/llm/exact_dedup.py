@@ -5,7 +5,8 @@
 2. Salted groups merge these: a text that a third of all rows share goes to `salts` tasks.
 3. The salts' winners, one row per salt and text at most, are merged by digest and text.
 
-Rows find their group's winner by digest; two different texts with one SHA-256 are an error there.
+Rows find their group's winner by digest and salt: the winner goes to each salt that the group has, so no task gets more
+than one salt of a group. Two different texts with one SHA-256 are an error there.
 
 Null texts count as empty, so all of them are equal. A null id never wins against another id; if a
 group has only null ids, its keep_id is null and the first of its rows stays. Rows that repeat both
@@ -22,28 +23,39 @@ from tunemill.llm.common import SPACE
 SALTS = 64
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, salts: int) -> DataFrame:
     text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    return docs.select("doc_id", text.alias("text")).withColumn("digest", F.sha2("text", 256))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    return docs.select("doc_id", text.alias("text"), salt.alias("salt")).withColumn("digest", F.unhex(F.sha2("text", 256)))
 
 
 def winners(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """digest, keep_id, group_size for each different text."""
-    salted = digests(docs).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
-    per_salt = salted.groupBy("digest", "salt", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    per_text = per_salt.groupBy("digest", "text").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("n"))
-    clash = F.raise_error(F.concat(F.lit("two texts with the SHA-256 "), F.col("digest")))
+    """digest, keep_id, group_size, salts (those that its rows have) for each different text."""
+    per_salt = digests(docs, salts).groupBy("digest", "salt", "text").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
+    # At most one row per salt and text is left, so the lists hold `salts` values at most.
+    per_text = per_salt.groupBy("digest", "text").agg(
+        F.min("keep_id").alias("keep_id"), F.sum("n").alias("n"), F.collect_list("salt").alias("salts")
+    )
+    clash = F.raise_error(F.concat(F.lit("two texts with the SHA-256 "), F.hex("digest")))
     return (
         per_text.groupBy("digest")
-        .agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"), F.count("*").alias("texts"))
-        .select("digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(clash).alias("group_size"))
+        .agg(
+            F.min("keep_id").alias("keep_id"),
+            F.sum("n").alias("group_size"),
+            F.count("*").alias("texts"),
+            F.first("salts").alias("salts"),
+        )
+        .select("digest", "keep_id", "salts", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(clash).alias("group_size"))
     )
 
 
 def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per row of `docs`."""
-    rows = digests(docs).groupBy("digest", "doc_id").agg(F.count("*").cast("int").alias("times"))
-    joined = rows.join(winners(docs, salts), "digest")
+    # Dealt out as the join needs it, so that the count needs no shuffle of its own.
+    rows = digests(docs, salts).select("digest", "salt", "doc_id").repartition("digest", "salt")
+    rows = rows.groupBy("digest", "salt", "doc_id").agg(F.count("*").cast("int").alias("times"))
+    winner = winners(docs, salts).select("digest", F.explode("salts").alias("salt"), "keep_id", "group_size")
+    joined = rows.join(winner, ["digest", "salt"])
     return joined.select(
         "doc_id", "keep_id", "group_size", "digest", F.explode(F.sequence(F.lit(1), "times")).alias("nth")
     ).select(
@@ -51,7 +63,7 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         "keep_id",
         "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
