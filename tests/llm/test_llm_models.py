@@ -91,6 +91,24 @@ def test_rules_are_many_gated_and_ranked():
     assert license_scan.kept([inner._replace(priority=70), outer]) == [outer, inner._replace(priority=70)]
 
 
+def test_overlapping_mentions_against_all_pairs():
+    draw = np.random.default_rng(5)
+    for size in (0, 1, 7, 300):
+        starts, lengths = draw.integers(0, 60, size), draw.integers(1, 12, size)
+        levels = draw.choice([40, 50, 60, license_scan.CERTAIN], size)
+        found = [license_scan.Detection("x", int(s), int(s + n), int(p), k) for k, (s, n, p) in enumerate(zip(starts, lengths, levels))]
+        stays = []
+        for one in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.order, d.start)):
+            if one.priority == license_scan.CERTAIN or not any(o.start <= one.start and one.end <= o.end for o in stays):
+                stays.append(one)
+        assert license_scan.kept(found) == sorted(stays, key=lambda d: (d.start, d.end, d.order))
+
+
+def test_many_mentions_in_one_text():
+    words = b"this work is licensed under the bsd 3 clause license and".split() * 12_000
+    assert len(license_scan.detect(words)) >= 12_000
+
+
 def field(number, value):
     if isinstance(value, bytes):
         return bytes([number << 3 | 2]) + length(len(value)) + value
