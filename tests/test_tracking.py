@@ -2,6 +2,7 @@ import json
 from functools import reduce
 
 import pytest
+from conftest import plan_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
@@ -220,3 +221,21 @@ def test_conflicts_at_any_depth_by_pairs_of_a_table(spark):
     )
     rows = {tuple(r[c] for c in ("run_id", "trainer_key", "engine_key", "trainer_value", "engine_value")) for r in tracking.config_conflicts(params, pairs).collect()}
     assert rows == {(5, "x.y.z", "p.q.z", "1", "3"), (5, "only", "p.none", "1", None)}
+
+
+def test_sets_begin_after_the_rows_are_dealt_out(spark):
+    """Else a task's memory follows what it reads."""
+    params = spark.createDataFrame([(1, "hf", "optim", "a")], "run_id long, source string, key string, value string")
+    plan = plan_of(tracking.config_conflicts(params))
+    below = plan[plan.index("Exchange hashpartitioning(run_id") :]
+    assert "collect_set" in plan and "collect_set" not in below
+
+
+def test_pairs_travel_to_the_parameters(spark, tmp_path):
+    """Parameters that repeat are small on disk, yet not small in memory."""
+    one = spark.range(1000).selectExpr("id AS run_id", "'hf' AS source", "'optim' AS key", "'a' AS value")
+    one.write.parquet(str(tmp_path / "params"))
+    params = spark.read.parquet(str(tmp_path / "params"))
+    keys = spark.range(1000, 3000).selectExpr("'optim' AS trainer_key", "concat('key', id) AS engine_key")
+    plan = plan_of(tracking.config_conflicts(params, keys))
+    assert "FileScan" in plan and "FileScan" not in plan[plan.index("BroadcastExchange") :]

@@ -168,10 +168,10 @@ def config_conflicts(params: DataFrame, pairs: DataFrame | None = None) -> DataF
     `params` is (run_id, source, key, value). Numbers are compared as numbers, lists and sections
     by their values, everything else without regard to case. "auto" on either side agrees with
     anything; a key missing on one side does not. A key that a side holds with several values
-    is a conflict; they are shown with bars between. `pairs` is (trainer_key, engine_key), the fixed pairs by default.
+    is a conflict; they are shown with bars between. `pairs` is (trainer_key, engine_key), the fixed pairs by default;
+    they are sent to all tasks.
     """
-    # The fixed pairs are written out in the program; a table of pairs is joined as its size asks for.
-    pairs = F.broadcast(key_pairs(params.sparkSession)) if pairs is None else pairs.select("trainer_key", "engine_key").distinct()
+    pairs = key_pairs(params.sparkSession) if pairs is None else pairs.select("trainer_key", "engine_key").distinct()
     sides = pairs.select(F.lit(TRAINER).alias("source"), F.col("trainer_key").alias("key"), "*").union(
         pairs.select(F.lit(ENGINE).alias("source"), F.col("engine_key").alias("key"), "*")
     )
@@ -182,9 +182,15 @@ def config_conflicts(params: DataFrame, pairs: DataFrame | None = None) -> DataF
     def shown(values: str) -> Column:
         return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), " | "))
 
+    # Dealt out before they are put together: sets begun where the rows are read would hold a task's whole input,
+    # which a small file can blow up to, and make it no smaller.
+    group = ["run_id", "trainer_key", "engine_key"]
     both = (
-        params.join(sides, ["source", "key"])
-        .groupBy("run_id", "trainer_key", "engine_key")
+        # Pairs are names of settings and travel. Written parameters are so small on disk that Spark would send them instead, all to each task.
+        params.join(F.broadcast(sides), ["source", "key"])
+        .select(*group, "source", "value")
+        .repartition(*group)
+        .groupBy(*group)
         .agg(held(TRAINER).alias("_trainer"), held(ENGINE).alias("_engine"))
         .withColumn("trainer_value", shown("_trainer"))
         .withColumn("engine_value", shown("_engine"))
