@@ -90,3 +90,12 @@ def test_the_join_needs_ids(spark, ids, message):
     with pytest.raises(PySparkException, match=message):
         tokenize(df, vocabulary, joined=True).collect()
     assert [r["n_tokens"] for r in tokenize(df, vocabulary).collect()] == [3, 4]
+
+
+def test_the_join_shuffles_places_as_numbers(spark, texts, conf):
+    """No lists that are put together before a shuffle, no salt in the rows."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    vocabulary = Vocabulary(spark.createDataFrame([("the", 3), ("cat", 4)], "token string, token_id int"), 2)
+    plan = plan_of(tokenize(texts, vocabulary, joined=True).select("id", "input_ids"))
+    assert "collect_list" in plan and "collect_list" not in plan[plan.index("REPARTITION_BY_COL") :]
+    assert "pmod(pos" in plan and "AS salt" not in plan.split("pmod(pos")[0]

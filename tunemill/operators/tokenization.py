@@ -140,23 +140,28 @@ def _encode_inline(df: DataFrame, tokens: Column, vocabulary: Vocabulary) -> Dat
 def _encode_by_join(
     df: DataFrame, tokens: Column, vocabulary: Vocabulary, id_column: str
 ) -> DataFrame:
-    # A frequent token would fill one join partition, so both sides carry a salt.
     missing = F.raise_error(F.lit(f"NULL in {id_column}"))
     df = df.withColumn(id_column, F.coalesce(F.col(id_column), missing.cast(df.schema[id_column].dataType)))
-    exploded = df.select(id_column, F.posexplode(tokens).alias("pos", "token")).withColumn(
-        "salt", F.pmod("pos", F.lit(_SALTS)).cast("int")
-    )
+    # A frequent token would fill one join partition, so it is dealt out by its place as well. The
+    # salt is worked out from the place and doesn't travel.
+    exploded = df.select(id_column, F.posexplode(tokens).alias("pos", "token"))
     salted = vocabulary.table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    found = F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
+    known = (exploded["token"] == salted["token"]) & (F.pmod(exploded["pos"], F.lit(_SALTS)) == salted["salt"])
+    # Place and id in one number, the place first. The rows are dealt out as they are: few of a row's
+    # tokens meet in a task before, so lists put together there would only be larger.
+    found = F.shiftleft(F.col("pos").cast("bigint"), 32).bitwiseOR(F.coalesce("token_id", F.lit(UNK_ID)).cast("bigint"))
+    placed = exploded.join(salted, known, "left").select(id_column, found.alias("found")).repartition(id_column)
     repeated = F.raise_error(F.concat(F.lit(f"repeated {id_column} "), F.col(id_column).cast("string")))
     # Places count up from 0, so a second row of the same id shows in their number.
     encoded = (
-        exploded.join(salted, ["token", "salt"], "left")
-        .groupBy(id_column)
-        .agg(F.sort_array(F.collect_list(found)).alias("_found"), F.max("pos").alias("_last"))
+        placed.groupBy(id_column)
+        .agg(F.sort_array(F.collect_list("found")).alias("_found"), F.max("found").alias("_last"))
         .select(
             id_column,
-            F.when(F.size("_found") == F.col("_last") + 1, F.col("_found.token_id"))
+            F.when(
+                F.size("_found") == F.shiftright("_last", 32) + 1,
+                F.transform("_found", lambda one: one.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")),
+            )
             .otherwise(repeated.cast("array<int>"))
             .alias("_ids"),
         )
