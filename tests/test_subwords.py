@@ -2,7 +2,9 @@
 
 import base64
 import random
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from conftest import plan_of
 from hypothesis import given, settings
@@ -158,3 +160,14 @@ def test_the_pluggable_form_goes_through_batches(spark, library):
         ids = library.encode_ordinary("Some words " * (r["id"] % 5 + 1))
         assert r["input_ids"][: len(ids)] == ids and set(r["input_ids"][len(ids) :]) <= {50256}
         assert len(r["input_ids"]) == r["batch_length"]
+
+
+def test_words_are_coded_in_bounded_parts(spark, monkeypatch):
+    """A large batch isn't worked out as a whole; rows keep their order, a long one stays whole."""
+    monkeypatch.setattr(subwords, "WORDS_AT_A_TIME", 3)
+    ranks = small_ranks()
+    rows = [["skipped"], ["ab", " a"], [], ["abc"] * 7, ["q"], [], ["caé", "x"], []]
+    code = subwords._coded(SimpleNamespace(value=ranks)).func
+    parts = [part.to_pylist() for part in code(iter([pa.array(rows, pa.list_(pa.string())).slice(1), pa.array([["b"]])]))]
+    assert [len(part) for part in parts] == [2, 1, 4, 1]
+    assert [ids for part in parts for ids in part] == [[i for word in row for i in plain(word.encode(), ranks)] for row in [*rows[1:], ["b"]]]

@@ -1,7 +1,7 @@
 """Byte-level subword coding by a file of ranks.
 
 A text is cut into words by a pattern, in the JVM; a word's bytes are merged pair by pair, lowest rank first. Only the
-words travel to Python, as Arrow lists: a batch's different words are merged once, and their
+words travel to Python, as Arrow lists: the different words of a part of a batch are merged once, and their
 ids are put in place by number. No row is exploded and nothing is shuffled, so a frequent word is no hot key.
 """
 
@@ -20,6 +20,8 @@ from tunemill.functions.tokens import MAX_LENGTH, attention_mask
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A table of ranks travels to all tasks; a larger one is an error.
 MAX_PIECES, MAX_BYTES = 1 << 20, 1 << 26
+#: Words coded together: what is worked out for them takes memory besides the batch. One longer text is coded at once.
+WORDS_AT_A_TIME = 1 << 16
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -84,11 +86,19 @@ def tokenize_subwords(
 def _coded(known: Broadcast):
     import pyarrow as pa
 
+    def parts(batches):
+        for batch in batches:
+            ends, start = batch.offsets.to_numpy(), 0
+            while start < len(batch):
+                stop = max(start + 1, int(ends.searchsorted(ends[start] + WORDS_AT_A_TIME, "right")) - 1)
+                yield batch.slice(start, stop - start)
+                start = stop
+
     def code(batches):
         import numpy as np
 
         coder = WordCoder(known.value)
-        for lists in batches:
+        for lists in parts(batches):
             words = lists.flatten().dictionary_encode()
             pieces = [coder.ids(word) for word in words.dictionary.to_pylist()]
             ends = np.cumsum([0, *map(len, pieces)]).astype(np.int32)
