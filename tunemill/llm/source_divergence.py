@@ -53,8 +53,10 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order, and which text each is from."""
     coded = [encoded(text) for text in texts.to_pylist()]
     offsets = np.cumsum([0, *map(len, coded)]).astype(np.int64)
-    letters = b"".join(coded).translate(_LETTERS)
-    cut = pa.LargeStringArray.from_buffers(len(coded), pa.py_buffer(offsets), pa.py_buffer(letters))
+    count, letters = len(coded), b"".join(coded)
+    del coded
+    letters = letters.translate(_LETTERS)
+    cut = pa.LargeStringArray.from_buffers(count, pa.py_buffer(offsets), pa.py_buffer(letters))
     lists = pc.ascii_split_whitespace(cut)
     words, owner = pc.list_flatten(lists), pc.list_parent_indices(lists)
     some = pc.greater(pc.binary_length(words), 0)
@@ -68,9 +70,15 @@ def counted_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
     group_of = np.array([place[p] for p in zip(batch["lang"].to_pylist(), batch["source"].to_pylist())], np.int64)
     words, owner = _words(batch["text"])
     coded = words.dictionary_encode()
-    names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     width = max(len(names), 1)
-    in_docs, times = np.unique(owner * width + codes, return_counts=True)
+    # A slice's words take many times its bytes: what isn't needed any more goes at once.
+    del words
+    owner *= width
+    owner += codes
+    del coded, codes
+    in_docs, times = np.unique(owner, return_counts=True)
+    del owner
     keys, at = np.unique(group_of[in_docs // width] * width + in_docs % width, return_inverse=True)
     n = np.bincount(at, weights=times, minlength=len(keys)).astype(np.int64)
     n_docs = np.bincount(at, minlength=len(keys)).astype(np.int64)
@@ -93,8 +101,12 @@ def counted(docs: DataFrame, bits: int) -> DataFrame:
     """lang, source, digest, term, n, n_docs as the tasks count them; digest and term are null for a bare group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_slices(batches, limit=COUNT_BYTES):
-            yield counted_slice(part)
+        try:
+            for part in in_slices(batches, limit=COUNT_BYTES):
+                yield counted_slice(part)
+        finally:
+            # The worker waits for other tasks while Spark's own stages need the memory.
+            pa.default_memory_pool().release_unused()
 
     given = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
     rows = given.mapInArrow(run, "lang string, source string, term string, n long, n_docs long")
