@@ -65,3 +65,21 @@ def test_null_and_repeated_ids(spark):
     rows = [(None, a), (None, a), (1, a), (5, b), (5, c), (7, c), (3, b), (9, None), (8, " ")]
     found = simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in found) == [(0, a), (0, a), (1, a), (3, b), (8, " ")]
+
+
+def test_simhash_finds_most_links(spark, edited):
+    """From the fingerprints alone: few of the unequal near copies lie within two bits, sampled bits bring most of them together."""
+    docs = spark.createDataFrame(edited, "doc_id long, text string")
+    found = near_dedup.shingle_sets(docs).cache()
+    named = found.select("key", "fp").dropDuplicates(["key"])
+    links = near_dedup.checked(near_dedup.near_fingerprints(named).union(near_dedup.first_partners(named)), found)
+    unlike = {k: shingles(t) for k, t in edited}
+    firsts = {s: k for k, s in reversed(unlike.items())}
+    unlike = {k: s for k, s in unlike.items() if firsts[s] == k}
+    by_key = {r["doc_id"]: r["key"] for r in found.select("doc_id", "key").collect()}
+    linked = {frozenset(pair) for pair in links.collect()}
+    by_simhash = reachable(unlike, lambda a, b: frozenset((by_key[a], by_key[b])) in linked)
+    by_sets = reachable(unlike, lambda a, b: near(unlike[a], unlike[b]))
+    lost, wanted = (sum(classes[k] != k for k in unlike) for classes in (by_simhash, by_sets))
+    found.unpersist()
+    assert 0.8 * wanted <= lost <= wanted

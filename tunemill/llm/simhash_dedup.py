@@ -168,7 +168,7 @@ def _same_id(named: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, with all their columns, but one document of each component by 5-word Jaccard (near_dedup).
+    """The rows of `docs`, with all their columns, but one document of each component by SimHash and 5-word Jaccard (near_dedup).
 
     The document with the smallest id stays. A row with a null id can't be named and stays.
     """
