@@ -1,12 +1,14 @@
 """Duplicate and contamination operators against brute force on small tables."""
 
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tunemill.llm import components, decontamination, golay, line_dedup, recompression, simhash_dedup, substring_dedup
 
@@ -265,3 +267,36 @@ def test_slot_counts_are_not_copied_into_rows(spark):
     slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
     plan = line_dedup.described(line_dedup.token_sets(docs, slots, *line_dedup.line_keys(docs)))._jdf.queryExecution()
     assert "AS _slots" not in plan.optimizedPlan().toString()
+
+
+def test_listed_tokens_are_dealt_out_once(spark):
+    """Both sides of the join of listed tokens read one shuffle."""
+    line = "{} {} three four five six seven eight nine ten eleven twelve"
+    rows = [(k, "\n".join(line.format(f"a{k}", f"b{j}") for j in range(3))) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bits, kind = line_dedup.line_keys(docs)
+    slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
+    lines = line_dedup.described(line_dedup.token_sets(docs, slots, bits, kind)).withColumn("open", F.expr("key % 2 = 0"))
+    entries = line_dedup.stored(line_dedup.listed(lines), "entries")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = line_dedup.all_partners(entries)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "ReusedExchange" in plan
+    pairs = {(r["x"], r["y"]) for r in line_dedup.all_partners(entries).collect()}
+    assert pairs and all(x % 2 == 0 and y < x for x, y in pairs)
+
+
+def test_slot_classes_lie_eight_in_a_long(spark):
+    """Each slot's class is read back from its own byte."""
+    docs = spark.createDataFrame([(1, " ".join("w%d" % k for k in range(50) for _ in range(1 + 40 * (k % 3))))], "doc_id long, text string")
+    slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
+    assert slots.select(F.size("slots")).first()[0] == 1 << 17
+    tokens = line_dedup.token_sets(docs, slots, *line_dedup.line_keys(docs)).first()["tokens"]
+    steps = [token >> line_dedup.HASH_BITS for token in tokens]
+    expected = sorted(int(8 * math.log2(2 + 40 * (k % 3))) for k in range(50))
+    assert steps == expected

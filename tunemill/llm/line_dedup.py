@@ -46,15 +46,17 @@ def words_of(text: Column) -> Column:
 
 
 def slot_counts(docs: DataFrame) -> DataFrame:
-    """One row, one column `slots`: class of the occurrences of words, by the first bits of their hash, above HASH_BITS."""
+    """One row, one column `slots`: class of the occurrences of words, by the first bits of their hash, eight classes in a long."""
     words = docs.select(F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
     slot = F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS)
-    counts = words.groupBy(slot.alias("id")).agg(F.count("*").alias("n"))
-    every = docs.sparkSession.range(1 << SLOT_BITS).join(counts, "id", "left")
-    # A row per slot: at most 2^20, whatever the size of the corpus.
-    ordered = F.sort_array(F.collect_list(F.struct("id", "n")))
-    step = F.transform(ordered, lambda s: F.least(F.floor(8 * F.log2(1 + F.coalesce(s["n"], F.lit(0)))), F.lit(255)).cast("long"))
-    return every.agg(F.transform(step, lambda number: F.shiftleft(number, HASH_BITS)).alias("slots"))
+    counts = words.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+    step = F.least(F.floor(8 * F.log2(1 + F.col("n"))), F.lit(255)).cast("long")
+    steps = counts.select(F.shiftright("slot", 3).alias("id"), F.expr("CAST(slot & 7 AS INT) * 8").alias("at"), step.alias("step"))
+    packed = steps.groupBy("id").agg(F.bit_or(F.expr("shiftleft(step, at)")).alias("steps"))
+    every = docs.sparkSession.range(1 << (SLOT_BITS - 3)).join(packed, "id", "left")
+    # A long per eight slots: at most 2^17, whatever the size of the corpus.
+    ordered = F.sort_array(F.collect_list(F.struct("id", "steps")))
+    return every.agg(F.transform(ordered, lambda s: F.coalesce(s["steps"], F.lit(0).cast("long"))).alias("slots"))
 
 
 def line_keys(docs: DataFrame) -> tuple[int, str]:
@@ -79,8 +81,10 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
 
     def coded(table: Column) -> Column:
         def token(h: Column) -> Column:
-            step = F.coalesce(table[F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int")], F.lit(0).cast("long"))
-            return step.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+            steps = F.coalesce(table[F.shiftrightunsigned(h, 67 - SLOT_BITS).cast("int")], F.lit(0).cast("long"))
+            at = F.shiftrightunsigned(h, 64 - SLOT_BITS).bitwiseAND(F.lit(7)).cast("int") * 8
+            step = F.call_function("shiftrightunsigned", steps, at).bitwiseAND(F.lit(255).cast("long"))
+            return F.shiftleft(step, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
         return F.sort_array(F.transform(F.transform("words", lambda word: F.xxhash64(word)), token))
 
@@ -116,20 +120,22 @@ def described(sets: DataFrame) -> DataFrame:
 IDENTITY = ["set_hash", "name", "n"]
 
 
-def listed(sets: DataFrame, *carried: str) -> DataFrame:
-    """token, pos, and first line (key), sketch and n of each set of four tokens or more.
+def listed(sets: DataFrame) -> DataFrame:
+    """token, spot (place in the list, doubled, and 1 for open lines), first line (key) and sketch of each set of four tokens or more.
 
     Smaller sets match equal ones only.
     """
-    return sets.where("n > 3").select("key", "n", *SKETCH, *carried, F.posexplode("prefix").alias("pos", "token"))
+    rows = sets.where("n > 3").select("key", "n", *SKETCH, "open", F.posexplode("prefix").alias("pos", "token"))
+    return rows.select("key", "n", *SKETCH, F.expr("2 * pos + IF(open, 1, 0)").alias("spot"), "token")
 
 
-def _may_match(x: str, y: str, differing: str) -> Column:
+def _may_match(x: str, y: str, differing: str, pos: str = "{}.pos") -> Column:
     """Whether `y` comes before `x` and passes the filters; `differing` counts the differing bits of their sketches."""
+    x_pos, y_pos = pos.format(x), pos.format(y)
     common = f"((4 * ({x}.n + {y}.n) + 8) div 9)"
     return F.expr(
         f"{y}.key < {x}.key AND 5 * least({x}.n, {y}.n) >= 4 * greatest({x}.n, {y}.n)"
-        f" AND least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {common}"
+        f" AND least({x}.n - {x_pos}, {y}.n - {y_pos}) >= {common}"
         f" AND {differing} <= {x}.n + {y}.n - 2 * {common}"
     )
 
@@ -151,12 +157,14 @@ def first_partners(sets: DataFrame) -> DataFrame:
 def all_partners(entries: DataFrame) -> DataFrame:
     """x, y: lines that are open and all lines before them that may match.
 
-    Both sides are the same table, so that Spark deals it out once.
+    Both sides are the same table, column by column, so that Spark deals it out once. For that, whether a line is open lies in
+    a column that both sides need, and is asked in a condition on both: a condition on one is moved below the shuffle.
     """
     whole = " + ".join(f"bit_count(x.{half} ^ y.{half})" for half in SKETCH)
     folded = " ^ ".join(f"{side}.{half}" for side in ("x", "y") for half in SKETCH)
-    near = _may_match("x", "y", f"IF(least(x.n, y.n) > {SHORT}, {whole}, bit_count({folded}))")
-    pairs = entries.alias("x").join(entries.alias("y"), F.expr("x.token = y.token AND x.open") & near)
+    differing = f"IF(x.spot & 1 = 0, {(1 << 31) - 1}, IF(least(x.n, y.n) > {SHORT}, {whole}, bit_count({folded})))"
+    near = _may_match("x", "y", differing, "shiftright({}.spot, 1)")
+    pairs = entries.alias("x").join(entries.alias("y"), F.expr("x.token = y.token") & near)
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
@@ -243,7 +251,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     sets = without(lines, later, seen)
     early = matching(first_partners(sets), docs, bits, kind)
     flagged = sets.join(early.select(F.col("x").alias("key"), F.lit(True).alias("settled")), "key", "left")
-    late = matching(all_partners(listed(flagged.withColumn("open", F.col("settled").isNull()), "open")), docs, bits, kind)
+    late = matching(all_partners(listed(flagged.withColumn("open", F.col("settled").isNull()))), docs, bits, kind)
     # A line that repeats an earlier one goes anyway, so what goes of a set is known without its other lines.
     gone = later.union(early).union(late)
     doc_id, line_no = _place(bits, kind)
