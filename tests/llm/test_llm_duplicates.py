@@ -4,13 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tunemill.llm import components, decontamination, golay, line_dedup, recompression, simhash_dedup, substring_dedup
+from tunemill.llm import common, components, decontamination, golay, line_dedup, recompression, simhash_dedup, substring_dedup
 
 BLANK = "[\x20\x09-\x0d]+"
 
@@ -300,3 +301,50 @@ def test_slot_classes_lie_eight_in_a_long(spark):
     steps = [token >> line_dedup.HASH_BITS for token in tokens]
     expected = sorted(int(8 * math.log2(2 + 40 * (k % 3))) for k in range(50))
     assert steps == expected
+
+
+def test_bitmaps_have_the_bits_their_keys_need(spark):
+    """Few keys give a small bitmap, which lets no key go missing; the size is bounded."""
+    for count in (0, 5, 20_000):
+        keys = line_dedup.stored(spark.range(count).select((F.col("id") * 3).alias("key")), "keys")
+        bits = line_dedup.stored_bitmap(keys, "key")
+        longs = bits.select(F.size("bits")).first()[0]
+        assert max(64, count // 8) <= longs <= max(64, count // 3)
+        inside = spark.range(3 * count + 300).withColumn("_bits", bits.scalar()).where(line_dedup.maybe_in(F.col("_bits"), F.col("id")))
+        found = {r["id"] for r in inside.collect()}
+        assert found >= set(range(0, 3 * count, 3)) and len(found) < count * 1.5 + 10
+    assert line_dedup.bitmap(spark.range(1), "id", 10**9).select(F.size("bits")).first()[0] == 1 << 18
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {found.apply(k).getName() for k in range(found.length()) if found.apply(k).getName().startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(common.CLEANUP, None)
+    line_dedup.stored(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    with common.shuffles_dropped(spark):
+        assert spark.conf.get(common.CLEANUP) == "true"
+    assert spark.conf.get(common.CLEANUP, None) == setting
+
+
+def test_settled_lines_are_not_open(spark):
+    """All but the lines that matched a first partner are open, whatever the bitmap lets through."""
+    draw = random.Random(5)
+    base = [f"w{k}" for k in range(60)]
+    lines = [" ".join(f"e{draw.randrange(10**6)}" if k in gone else w for k, w in enumerate(base)) for gone in (draw.sample(range(60), 3) for _ in range(400))]
+    docs = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "doc_id long, text string")
+    bits, kind = line_dedup.line_keys(docs)
+    slots = line_dedup.stored(line_dedup.slot_counts(docs), "slots")
+    sets = line_dedup.stored(line_dedup.described(line_dedup.token_sets(docs, slots, bits, kind)), "sets")
+    early = line_dedup.matching(line_dedup.first_partners(sets), docs, bits, kind)
+    open_lines = line_dedup.flagged(sets, early.select(F.col("x").alias("key")), line_dedup.stored_bitmap(early, "x")).where("open")
+    assert {r["key"] for r in open_lines.collect()} == {r["key"] for r in sets.join(early, F.col("key") == F.col("x"), "left_anti").collect()}
+    assert early.count() > 390

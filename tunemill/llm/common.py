@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +17,7 @@ from tunemill.sources.tables import file_system_path
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text that a task works on at a time. One longer text is a slice of its own.
 SLICE_BYTES = 8_000_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _ALNUM = bytes(
     byte if 0x30 <= byte <= 0x39 or 0x61 <= byte <= 0x7A or byte >= 0x80 else byte + 32 if 0x41 <= byte <= 0x5A else 0x20
@@ -23,11 +25,26 @@ _ALNUM = bytes(
 )
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go when it ends, not when the driver next collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back; a lost executor costs no recomputation."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_path = path
     return table

@@ -14,10 +14,10 @@ document) matches it. Lines without words match nothing.
    tokens hashed to it: it differs in one bit at most for each token that only one set has. Sets of up to 48
    tokens use 64 bits; the two halves of a longer sketch, combined by XOR, are its 64-bit sketch.
 4. Check. Pairs that are left are compared word by word. Only lines that occur in a pair travel: others are
-   left out by a bitmap of 2^24 hashed keys, which may let through too many but never too few.
+   left out by a bitmap of hashed keys (eight bits a key, 2^24 at most), which may let through too many but never too few.
 
 Before all others, lines are tried against the first line that has the same smallest, or largest, hash among its
-listed tokens. Lines that match it need no other partner, so a line copied with small changes a
+listed tokens, by two hashes. Lines that match it need no other partner, so a line copied with small changes a
 million times makes a few million pairs, not the square. All others meet all their partners.
 
 A null text has no lines and stays null. Lines of a row with a null id are kept and remove
@@ -34,7 +34,8 @@ from tunemill.llm.common import SPACE, discard, stored
 
 WORD = r"[^\x20\x09-\x0D]"
 SLOT_BITS = 20
-BITMAP_BITS = 24
+#: A bitmap has some bits a key, within bounds that are powers of two.
+BITS_A_KEY, LEAST_BITMAP, BITMAP_BITS = 8, 12, 24
 HASH_BITS = 55
 #: Sets of more tokens than this use both halves of the sketch.
 SHORT = 48
@@ -49,14 +50,25 @@ def slot_counts(docs: DataFrame) -> DataFrame:
     """One row, one column `slots`: class of the occurrences of words, by the first bits of their hash, eight classes in a long."""
     words = docs.select(F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
     slot = F.shiftrightunsigned(F.xxhash64("word"), 64 - SLOT_BITS)
-    counts = words.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+    return packed_classes(words.groupBy(slot.alias("slot")).agg(F.count("*").alias("n")))
+
+
+def packed_classes(counts: DataFrame) -> DataFrame:
+    """One row, one column `slots`: classes of the counts (slot, n), eight in a long."""
     step = F.least(F.floor(8 * F.log2(1 + F.col("n"))), F.lit(255)).cast("long")
     steps = counts.select(F.shiftright("slot", 3).alias("id"), F.expr("CAST(slot & 7 AS INT) * 8").alias("at"), step.alias("step"))
-    packed = steps.groupBy("id").agg(F.bit_or(F.expr("shiftleft(step, at)")).alias("steps"))
-    every = docs.sparkSession.range(1 << (SLOT_BITS - 3)).join(packed, "id", "left")
+    packed = steps.select("id", F.expr("shiftleft(step, at)").alias("steps"))
+    every = counts.sparkSession.range(0, 1 << (SLOT_BITS - 3), 1, 1).select("id", F.lit(0).cast("long").alias("steps"))
+    whole = packed.union(every).groupBy("id").agg(F.bit_or("steps").alias("steps"))
     # A long per eight slots: at most 2^17, whatever the size of the corpus.
-    ordered = F.sort_array(F.collect_list(F.struct("id", "steps")))
-    return every.agg(F.transform(ordered, lambda s: F.coalesce(s["steps"], F.lit(0).cast("long"))).alias("slots"))
+    return whole.agg(F.sort_array(F.collect_list(F.struct("id", "steps")))["steps"].alias("slots"))
+
+
+def slot_class(table: Column, h: Column) -> Column:
+    """The class of a hash's slot."""
+    steps = F.coalesce(table[F.shiftrightunsigned(h, 67 - SLOT_BITS).cast("int")], F.lit(0).cast("long"))
+    at = F.shiftrightunsigned(h, 64 - SLOT_BITS).bitwiseAND(F.lit(7)).cast("int") * 8
+    return F.call_function("shiftrightunsigned", steps, at).bitwiseAND(F.lit(255).cast("long"))
 
 
 def line_keys(docs: DataFrame) -> tuple[int, str]:
@@ -81,10 +93,7 @@ def token_sets(docs: DataFrame, slots: DataFrame, bits: int, kind: str) -> DataF
 
     def coded(table: Column) -> Column:
         def token(h: Column) -> Column:
-            steps = F.coalesce(table[F.shiftrightunsigned(h, 67 - SLOT_BITS).cast("int")], F.lit(0).cast("long"))
-            at = F.shiftrightunsigned(h, 64 - SLOT_BITS).bitwiseAND(F.lit(7)).cast("int") * 8
-            step = F.call_function("shiftrightunsigned", steps, at).bitwiseAND(F.lit(255).cast("long"))
-            return F.shiftleft(step, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+            return F.shiftleft(slot_class(table, h), HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
         return F.sort_array(F.transform(F.transform("words", lambda word: F.xxhash64(word)), token))
 
@@ -141,10 +150,10 @@ def _may_match(x: str, y: str, differing: str, pos: str = "{}.pos") -> Column:
 
 
 def first_partners(sets: DataFrame) -> DataFrame:
-    """x, y: lines and the first line that has the same smallest or largest hash among the listed tokens."""
-    hashes = F.transform("prefix", lambda token: F.xxhash64(token))
-    rows = sets.where("n > 3").select("key", "n", F.expr(" ^ ".join(SKETCH)).alias("bits"), F.lit(0).alias("pos"), hashes.alias("hashes"))
-    ends = F.array(F.array_min("hashes"), F.array_max("hashes"))
+    """x, y: lines and the first line that has the same smallest or largest hash among the listed tokens, by two hashes."""
+    hashes = [F.transform("prefix", lambda token: F.xxhash64(token)), F.transform("prefix", lambda token: F.xxhash64(token, F.lit(1)))]
+    rows = sets.where("n > 3").select("key", "n", F.expr(" ^ ".join(SKETCH)).alias("bits"), F.lit(0).alias("pos"), F.array(*hashes).alias("hashes"))
+    ends = F.array(*[end(F.col("hashes")[k]) for k in range(len(hashes)) for end in (F.array_min, F.array_max)])
     rows = rows.select("key", "n", "bits", "pos", F.explode(ends).alias("mark"))
     first = rows.groupBy("mark").agg(
         F.min("key").alias("key"), *[F.min_by(name, "key").alias(name) for name in ("n", "bits", "pos")]
@@ -168,18 +177,27 @@ def all_partners(entries: DataFrame) -> DataFrame:
     return pairs.select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
 
 
-def bitmap(values: DataFrame, column: str) -> DataFrame:
-    """One row, one column `bits`: 2^BITMAP_BITS bits as longs, set where a value's hash points to."""
-    place = F.shiftrightunsigned(F.xxhash64(column), 64 - BITMAP_BITS)
+def bitmap(values: DataFrame, column: str, keys: int | None = None) -> DataFrame:
+    """One row, one column `bits`: bits as longs, set where a value's hash points to.
+
+    There are 2^BITMAP_BITS bits, or as many as `keys`, the number of values, need.
+    """
+    width = BITMAP_BITS if keys is None else min(max(LEAST_BITMAP, (BITS_A_KEY * keys).bit_length()), BITMAP_BITS)
+    place = F.xxhash64(column).bitwiseAND(F.lit((1 << width) - 1))
     bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
     words = values.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    every = values.sparkSession.range(1 << (BITMAP_BITS - 6)).join(words, "id", "left")
-    ordered = F.sort_array(F.collect_list(F.struct("id", "bits")))
-    return every.agg(F.transform(ordered, lambda s: F.coalesce(s["bits"], F.lit(0).cast("long"))).alias("bits"))
+    every = values.sparkSession.range(0, 1 << (width - 6), 1, 1).select("id", F.lit(0).cast("long").alias("bits"))
+    whole = words.union(every).groupBy("id").agg(F.bit_or("bits").alias("bits"))
+    return whole.agg(F.sort_array(F.collect_list(F.struct("id", "bits")))["bits"].alias("bits"))
+
+
+def stored_bitmap(table: DataFrame, column: str) -> DataFrame:
+    """The bitmap of a column of a stored table, stored."""
+    return stored(bitmap(table, column, table.count()), "bitmap")
 
 
 def maybe_in(bits: Column, value: Column) -> Column:
-    place = F.shiftrightunsigned(F.xxhash64(value), 64 - BITMAP_BITS)
+    place = F.xxhash64(value).bitwiseAND(F.size(bits).cast("long") * 64 - 1)
     word = bits[F.shiftright(place, 6).cast("int")]
     return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
@@ -202,7 +220,7 @@ def matching(pairs: DataFrame, docs: DataFrame, bits: int, kind: str) -> DataFra
     lines = docs.where("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     lines = lines.select(_key(F.col("doc_id"), F.col("line_no"), bits, kind).alias("key"), "line")
 
-    wanted = {end: stored(bitmap(pairs, end), "bitmap") for end in ("x", "y")}
+    wanted = {end: stored_bitmap(pairs, end) for end in ("x", "y")}
 
     def side(end: str) -> DataFrame:
         there = lines.withColumn("_bits", wanted[end].scalar()).where(maybe_in(F.col("_bits"), F.col("key")))
@@ -226,7 +244,7 @@ def repeats(lines: DataFrame) -> DataFrame:
     """key of the lines whose set of words an earlier line has. A stored table."""
     groups = lines.groupBy(*IDENTITY).agg(F.min("key").alias("first_key"), F.count("*").alias("times"))
     several = stored(groups.where("times > 1").drop("times"), "several")
-    bits = stored(bitmap(several, "set_hash"), "bitmap")
+    bits = stored_bitmap(several, "set_hash")
     # Lines of sets that occur once, as the bitmap shows, don't travel.
     there = lines.select("key", *IDENTITY).withColumn("_bits", bits.scalar()).where(maybe_in(F.col("_bits"), F.col("set_hash")))
     later = stored(there.drop("_bits").join(several, IDENTITY).where("key > first_key").select("key"), "repeats")
@@ -234,29 +252,42 @@ def repeats(lines: DataFrame) -> DataFrame:
     return later
 
 
+def _marked(lines: DataFrame, bits: DataFrame) -> DataFrame:
+    return lines.withColumn("_bits", bits.scalar()).withColumn("_maybe", maybe_in(F.col("_bits"), F.col("key"))).drop("_bits")
+
+
 def without(lines: DataFrame, keys: DataFrame, bits: DataFrame) -> DataFrame:
     """The rows of `lines` whose key isn't in `keys`; those that the bitmap of the keys lacks don't travel."""
-    marked = lines.withColumn("_bits", bits.scalar()).withColumn("_maybe", maybe_in(F.col("_bits"), F.col("key"))).drop("_bits")
+    marked = _marked(lines, bits)
     rest = marked.where("_maybe").join(keys, "key", "left_anti")
     return marked.where("NOT _maybe").unionByName(rest).drop("_maybe")
 
 
+def flagged(lines: DataFrame, settled: DataFrame, bits: DataFrame) -> DataFrame:
+    """`lines` and `open`, whether their key isn't in `settled` (keys); those that the bitmap of the keys lacks don't travel."""
+    marked = _marked(lines, bits)
+    found = marked.where("_maybe").join(settled.withColumn("settled", F.lit(True)), "key", "left")
+    found = found.withColumn("open", F.col("settled").isNull()).drop("settled")
+    return marked.where("NOT _maybe").withColumn("open", F.lit(True)).unionByName(found).drop("_maybe")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, removed (numbers of the lines that go, from 0) of the documents that lose some. A stored table."""
     bits, kind = line_keys(docs)
     slots = stored(slot_counts(docs), "slots")
     lines = stored(described(token_sets(docs, slots, bits, kind)), "lines")
     later = repeats(lines)
-    seen = stored(bitmap(later, "key"), "bitmap")
+    seen = stored_bitmap(later, "key")
     sets = without(lines, later, seen)
     early = matching(first_partners(sets), docs, bits, kind)
-    flagged = sets.join(early.select(F.col("x").alias("key"), F.lit(True).alias("settled")), "key", "left")
-    late = matching(all_partners(listed(flagged.withColumn("open", F.col("settled").isNull()))), docs, bits, kind)
+    settled = early.select(F.col("x").alias("key"))
+    there = stored_bitmap(early, "x")
+    late = matching(all_partners(listed(flagged(sets, settled, there))), docs, bits, kind)
     # A line that repeats an earlier one goes anyway, so what goes of a set is known without its other lines.
     gone = later.union(early).union(late)
     doc_id, line_no = _place(bits, kind)
     removed = stored(gone.groupBy(doc_id.alias("doc_id")).agg(F.collect_set(line_no).alias("removed")), "removed")
-    discard(slots, lines, later, seen, early, late)
+    discard(slots, lines, later, seen, early, there, late)
     return removed
 
 
@@ -266,7 +297,7 @@ def without_lines(docs: DataFrame) -> DataFrame:
     Documents that lose no line, as a bitmap of the others shows, don't travel.
     """
     removed = removed_lines(docs)
-    losing = stored(bitmap(removed, "doc_id"), "bitmap")
+    losing = stored_bitmap(removed, "doc_id")
     marked = docs.withColumn("_bits", losing.scalar()).select(
         *[F.col(f"`{c}`") for c in docs.columns], maybe_in(F.col("_bits"), F.col("doc_id")).alias("_loses")
     )
